@@ -18,7 +18,7 @@ from stratum.checks import oracle_sql as q
 from stratum.functions.predicates import email_ok, not_blank, not_null, not_sentinel, phone_ok, present
 from stratum.functions.values import DATE_ISO, parse_date, parse_int, parse_money, strip_chars
 from stratum.operators.audit import audit_counts, row_count
-from stratum.operators.batches import batch_max, latest_batch
+from stratum.operators.batches import batch_at, batch_max, latest_batch, pin_latest_stamp
 from stratum.operators.contract import SILVER_8, SILVER_8_CAPS, SILVER_9, clean_deposits, project_to
 from stratum.operators.dedupe import dedupe_any
 from stratum.operators.rules import deposit_rules, reject_all, reject_distinct, split, validate
@@ -203,6 +203,13 @@ def latest_batch_q(spark: SparkSession, sf: str) -> DataFrame:
     return latest_batch(read_table(spark, _land(spark, deposits_from_orders(spark, sf), "raw")))
 
 
+@register("latest_batch_pinned", f"{q.dep_ctes()} SELECT * FROM batch")
+def latest_batch_pinned(spark: SparkSession, sf: str) -> DataFrame:
+    """BAT-1 as the flows run it: the stamp pinned once, then a literal filter."""
+    raw = read_table(spark, _land(spark, deposits_from_orders(spark, sf), "raw"))
+    return batch_at(raw, pin_latest_stamp(raw))
+
+
 @register("batch_max", f"{q.dep_ctes()} SELECT max(ingestion_timestamp) AS latest_ts FROM dep")
 def batch_max_q(spark: SparkSession, sf: str) -> DataFrame:
     """AGG-1."""

@@ -6,11 +6,18 @@ no counting jobs of their own:
 
 * ``ingest_declared`` / ``ingest_strings``: emptiness check (one-row limit) +
   one append job.
-* ``refine_replace`` / ``refine_append``: emptiness check + one write job; the
-  latest-batch maximum is a scalar subquery pushed into the scan.
-* ``refine_validated``: emptiness check + three write jobs (rejects, valid,
-  silver). Silver is built from the validated table just written, so the
-  raw history is not filtered a third time and lineage is cut at a table.
+* ``refine_replace`` / ``refine_append``: one tiny job pinning the latest
+  stamp (a one-column max; NULL means no batch, so it is also the emptiness
+  guard) + one write job.
+* ``refine_validated``: the pinning job + three write jobs (rejects, valid,
+  silver). Both batch reads use the pinned literal, so they see the same
+  batch even if another load lands meanwhile, and the filter prunes row
+  groups at planning time. Silver is built from the validated table just
+  written, so the raw history is not read a third time and lineage is cut at
+  a table.
+
+The ``*_plan`` functions are the same steps as lazy DataFrames (latest batch
+as a scalar subquery) with no sink, for composition and inspection.
 """
 
 from __future__ import annotations
@@ -23,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratum.functions.values import DATE_DAY_FIRST, DATE_ISO
-from stratum.operators.batches import latest_batch
+from stratum.operators.batches import batch_at, latest_batch, pin_latest_stamp
 from stratum.operators.contract import (
     SILVER_8,
     SILVER_8_CAPS,
@@ -37,7 +44,7 @@ from stratum.operators.rules import Rule, deposit_rules, passes, reject_all, rej
 from stratum.operators.stamps import stamp_ingestion, stamp_source_file
 from stratum.sinks.tables import append_table, overwrite_table
 from stratum.sources.files import read_csv_declared, read_csv_strings
-from stratum.sources.guards import open_source, require_batch, require_rows
+from stratum.sources.guards import EmptyBatchError, open_source, require_rows
 from stratum.sources.tables import read_table
 
 DEDUPE_KEY = "account_id"
@@ -84,6 +91,23 @@ def _date_target(contract: Contract) -> str:
     return next(t for s, _, t in contract if s == "deposit_date")
 
 
+def pinned_batch(raw: DataFrame, empty_batch: str = "stop") -> DataFrame:
+    """BAT-1 + SRC-8 for one flow run: the latest batch under a pinned stamp.
+
+    ``empty_batch="stop"`` raises ``EmptyBatchError`` when the table holds no
+    stamped row; ``"pass"`` hands on an empty batch (an overwrite would then
+    erase its target).
+    """
+    if empty_batch not in ("stop", "pass"):
+        raise ValueError(f"empty_batch must be 'stop' or 'pass', not {empty_batch!r}")
+    stamp = pin_latest_stamp(raw)
+    if stamp is None:
+        if empty_batch == "stop":
+            raise EmptyBatchError("no records found in the latest batch")
+        return raw.where(F.lit(False))
+    return batch_at(raw, stamp)
+
+
 # --------------------------------------------------------------------------
 # FLOW-1, FLOW-2: landing
 # --------------------------------------------------------------------------
@@ -125,23 +149,32 @@ def ingest_strings(
 # --------------------------------------------------------------------------
 # FLOW-3, FLOW-4, FLOW-5: refining the latest batch
 # --------------------------------------------------------------------------
-def refine_replace_plan(
-    raw: DataFrame,
+def refine_batch(
+    batch: DataFrame,
     dedupe: str = "any",
     contract: Contract = SILVER_8,
     date_format: str = DATE_DAY_FIRST,
     precision: int = 15,
     strict: bool = False,
 ) -> DataFrame:
-    """FLOW-3 without its sink: latest batch -> dedupe -> clean -> contract.
-
-    Dedupe runs before cleaning, on the raw account key.
-    """
-    batch = latest_batch(raw)
+    """FLOW-3's steps on one batch: dedupe (before cleaning, on the raw
+    account key) -> clean -> contract."""
     deduped = dedupe_by_account(batch, dedupe)
     return project_to(clean_deposits(deduped, date_format, precision, strict), contract)
 
 
+def refine_replace_plan(
+    raw: DataFrame,
+    dedupe: str = "any",
+    contract: Contract = SILVER_8,
+    date_format: str = DATE_DAY_FIRST,
+    precision: int = 15,
+    strict: bool = False,
+) -> DataFrame:
+    """FLOW-3 without its sink: latest batch -> dedupe -> clean -> contract."""
+    return refine_batch(latest_batch(raw), dedupe, contract, date_format, precision, strict)
+
+
 def refine_replace(
     spark: SparkSession,
     source_table: str,
@@ -156,9 +189,8 @@ def refine_replace(
     path: str | None = None,
 ) -> dict[str, int]:
     """FLOW-3: overwrite the silver table, partitioned by date, with the latest batch."""
-    raw = read_table(spark, source_table)
-    require_batch(latest_batch(raw), empty_batch)
-    silver = refine_replace_plan(raw, dedupe, contract, date_format, precision, strict)
+    batch = pinned_batch(read_table(spark, source_table), empty_batch)
+    silver = refine_batch(batch, dedupe, contract, date_format, precision, strict)
     n = overwrite_table(silver, target_table, fmt=fmt, partition_by=_date_target(contract), path=path, count=True)
     return {"written": n or 0}
 
@@ -201,7 +233,7 @@ def refine_validated(
     """
     rules = rules if rules is not None else deposit_rules()
     paths = paths or {}
-    batch = require_batch(latest_batch(read_table(spark, source_table)), empty_batch)
+    batch = pinned_batch(read_table(spark, source_table), empty_batch)
 
     rejected = reject_distinct(batch, rules) if rejects == "distinct" else reject_all(batch, rules)
     n_rej = append_table(rejected, rejected_table, fmt=fmt, path=paths.get("rejected"), count=True)
@@ -227,6 +259,17 @@ def refine_validated(
     return audit
 
 
+def append_batch(
+    batch: DataFrame,
+    contract: Contract = SILVER_9,
+    date_format: str = DATE_ISO,
+    precision: int = 18,
+    strict: bool = False,
+) -> DataFrame:
+    """FLOW-5's steps on one batch: clean (+ integer CUSTOMER_ID) -> contract."""
+    return project_to(clean_deposits(batch, date_format, precision, strict, customer_id=True), contract)
+
+
 def refine_append_plan(
     validated: DataFrame,
     contract: Contract = SILVER_9,
@@ -234,9 +277,8 @@ def refine_append_plan(
     precision: int = 18,
     strict: bool = False,
 ) -> DataFrame:
-    """FLOW-5 without its sink: latest batch -> clean (+ integer CUSTOMER_ID) -> contract."""
-    batch = latest_batch(validated)
-    return project_to(clean_deposits(batch, date_format, precision, strict, customer_id=True), contract)
+    """FLOW-5 without its sink: latest batch -> clean -> contract."""
+    return append_batch(latest_batch(validated), contract, date_format, precision, strict)
 
 
 def refine_append(
@@ -252,8 +294,7 @@ def refine_append(
     path: str | None = None,
 ) -> dict[str, int]:
     """FLOW-5: append the latest validated batch to the history-keeping silver table."""
-    validated = read_table(spark, source_table)
-    require_batch(latest_batch(validated), empty_batch)
-    silver = refine_append_plan(validated, contract, date_format, precision, strict)
+    batch = pinned_batch(read_table(spark, source_table), empty_batch)
+    silver = append_batch(batch, contract, date_format, precision, strict)
     n = append_table(silver, target_table, fmt=fmt, partition_by=_date_target(contract), path=path, count=True)
     return {"written": n or 0}

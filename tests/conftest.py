@@ -22,7 +22,7 @@ def spark():
         .appName("stratum-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "4KB")
         .config("spark.sql.warehouse.dir", warehouse)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")

@@ -154,3 +154,39 @@ def test_audit_counts_add_up(spark):
     valid = validate(dep, deposit_rules())
     assert a.written == dedupe_any(valid, ["account_id"]).count()
     assert row_count(dep).collect()[0][0] == dep.count()
+
+
+def test_pinned_stamp_exact_in_repeated_clock_hour(spark, tmp_dir):
+    from stratum.operators import batch_at, pin_latest_stamp
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # two instants one hour apart that read the same on a New York wall clock
+        df = spark.createDataFrame([(1793511000, "early"), (1793514600, "late")], "s long, tag string")
+        df.select(F.timestamp_seconds("s").alias("ingestion_timestamp"), "tag").write.parquet(tmp_dir + "/dst")
+        raw = spark.read.parquet(tmp_dir + "/dst")
+        stamp = pin_latest_stamp(raw)
+        assert [r.tag for r in batch_at(raw, stamp).collect()] == ["late"]
+        assert [r.tag for r in latest_batch(raw).collect()] == ["late"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_pinned_stamp_ntz_and_pushdown(spark, tmp_dir):
+    from stratum.operators import batch_at, pin_latest_stamp
+
+    df = spark.createDataFrame([("a", "2026-01-05 00:00:00.000001"), ("b", "2026-01-05 00:00:00.000002")],
+                               "k string, t string")
+    df.select("k", F.col("t").cast("timestamp_ntz").alias("ingestion_timestamp")).write.parquet(tmp_dir + "/ntz")
+    raw = spark.read.parquet(tmp_dir + "/ntz")
+    batch = batch_at(raw, pin_latest_stamp(raw))
+    assert [r.k for r in batch.collect()] == ["b"]
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(ingestion_timestamp,2026-01-05T00:00:00.000002)" in plan
+
+
+def test_pinned_stamp_none_on_empty(spark):
+    from stratum.operators import pin_latest_stamp
+
+    assert pin_latest_stamp(spark.createDataFrame([], "ingestion_timestamp timestamp")) is None
