@@ -6,11 +6,11 @@ groups each date's rows, and adaptive execution splits a date that holds a
 large share of the batch into several tasks and merges small ones -- unlike a
 plain ``repartition(col)``, which would send a hot date to one task.
 
-Counting: ``count=True`` attaches an ``Observation`` to the plan being
-written, so the row count comes from the same job -- no second scan, and no
-re-evaluation of ``current_timestamp()``. Observed metrics are merged from
-successful task attempts, so retried tasks after an executor loss are not
-double counted.
+Counting: ``count=True`` attaches an ``Observation`` at the top of the plan
+being written, so the row count comes from the same job -- no second scan,
+and no re-evaluation of ``current_timestamp()``. Sitting above every exchange,
+it is collected in the result stage, whose metrics are taken once per
+partition, so tasks re-run after an executor loss are not counted twice.
 """
 
 from __future__ import annotations
@@ -48,12 +48,13 @@ def write_table(
     if mode not in (APPEND, OVERWRITE):
         raise ValueError(f"mode must be append or overwrite, not {mode!r}")
     parts = _as_list(partition_by)
+    if parts and rebalance:
+        df = df.hint("rebalance", *parts)
     obs = None
     if count:
+        # above any exchange: counted in the result stage that writes the files
         obs = Observation(f"stratum_write_{uuid.uuid4().hex[:8]}")
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if parts and rebalance:
-        df = df.hint("rebalance", *parts)
     writer = df.write.mode(mode)
     if fmt:
         writer = writer.format(fmt)
