@@ -231,6 +231,8 @@ def refine_validated(
     table: fewer than ``rejected`` under the EXCEPT-DISTINCT reading) and
     ``written`` (silver rows after dedupe).
     """
+    if rejects not in ("distinct", "all"):
+        raise ValueError(f"rejects must be 'distinct' or 'all', not {rejects!r}")
     rules = rules if rules is not None else deposit_rules()
     paths = paths or {}
     batch = pinned_batch(read_table(spark, source_table), empty_batch)

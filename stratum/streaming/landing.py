@@ -11,6 +11,10 @@ exactly once.
 landed by one micro-batch shares one stamp -- the batch id that
 ``latest_batch`` selects later. With the default (unlimited) files per
 trigger, one run lands everything new as one batch.
+
+Land a table either with this stream or with the batch flows, not both: the
+file sink keeps a ``_spark_metadata`` log in the table's folder, and readers
+of that folder see only the files the log records.
 """
 
 from __future__ import annotations
