@@ -223,9 +223,13 @@ def refine_validated(
     empty_batch: str = "stop",
     fmt: str | None = None,
     paths: dict[str, str] | None = None,
+    formats: dict[str, str] | None = None,
 ) -> dict[str, int]:
     """FLOW-4: validate the latest batch, quarantine rejects, refine the rest.
 
+    ``paths`` / ``formats`` are keyed ``"valid"``, ``"rejected"``, ``"silver"``
+    (a format given per table wins over ``fmt``; e.g. Delta for silver only).
+
     Returns the audit (AUD-1): ``processed``, ``valid``, ``rejected`` (rows
     failing a rule), ``rejected_written`` (rows appended to the quarantine
     table: fewer than ``rejected`` under the EXCEPT-DISTINCT reading) and
@@ -235,10 +239,11 @@ def refine_validated(
         raise ValueError(f"rejects must be 'distinct' or 'all', not {rejects!r}")
     rules = rules if rules is not None else deposit_rules()
     paths = paths or {}
+    fmts = {k: (formats or {}).get(k, fmt) for k in ("valid", "rejected", "silver")}
     batch = pinned_batch(read_table(spark, source_table), empty_batch)
 
     rejected = reject_distinct(batch, rules) if rejects == "distinct" else reject_all(batch, rules)
-    n_rej = append_table(rejected, rejected_table, fmt=fmt, path=paths.get("rejected"), count=True)
+    n_rej = append_table(rejected, rejected_table, fmt=fmts["rejected"], path=paths.get("rejected"), count=True)
 
     # processed / valid / rejected are observed on the whole batch inside the
     # valid write: a shuffle-free job, so the metrics come from result tasks only
@@ -250,11 +255,12 @@ def refine_validated(
         F.count_if(ok).alias("valid"),
         F.count_if(~ok).alias("rejected"),
     )
-    overwrite_table(validate(observed, rules), valid_table, fmt=fmt, path=paths.get("valid"))
+    overwrite_table(validate(observed, rules), valid_table, fmt=fmts["valid"], path=paths.get("valid"))
 
     silver = silver_from_valid(read_table(spark, valid_table), dedupe, contract, date_format, precision, strict)
     n_silver = overwrite_table(
-        silver, silver_table, fmt=fmt, partition_by=_date_target(contract), path=paths.get("silver"), count=True
+        silver, silver_table, fmt=fmts["silver"], partition_by=_date_target(contract), path=paths.get("silver"),
+        count=True,
     )
     audit = {k: int(v) for k, v in obs.get.items()}
     audit.update(rejected_written=n_rej or 0, written=n_silver or 0)

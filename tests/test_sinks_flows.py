@@ -160,3 +160,25 @@ def test_stream_landing_is_incremental(spark, tmp_dir):
     assert total.count() == first["rows"] + second["rows"]
     assert total.select("ingestion_timestamp").distinct().count() == 2
     assert latest_batch(total).count() == second["rows"]
+
+
+def test_refine_replace_capitalised_contract(spark, tmp_dir):
+    from stratum.operators import SILVER_8_CAPS
+
+    raw = land_raw(spark, deposits_from_orders(spark, SF_SMALL), tmp_dir)
+    out = name("silver_caps")
+    res = refine_replace(spark, raw, out, dedupe="first", contract=SILVER_8_CAPS, precision=15,
+                         path=f"{tmp_dir}/caps")
+    t = spark.table(out)
+    assert t.columns[0] == "Deposit_id" and "Deposit_date" in t.columns
+    assert res["written"] == t.count() == t.select("Account_id").distinct().count()
+    assert any(p.startswith("Deposit_date=") for p in os.listdir(f"{tmp_dir}/caps"))
+
+
+def test_refine_validated_formats_per_table(spark, tmp_dir):
+    raw = land_raw(spark, deposits_from_orders(spark, SF_SMALL), tmp_dir)
+    n = {k: name(k) for k in ("valid", "rejected", "silver")}
+    refine_validated(spark, raw, n["valid"], n["rejected"], n["silver"], formats={"silver": "orc"},
+                     paths={k: f"{tmp_dir}/{k}" for k in n})
+    assert spark.sql(f"DESCRIBE EXTENDED {n['silver']}").where("col_name = 'Provider'").first()[1] == "orc"
+    assert spark.sql(f"DESCRIBE EXTENDED {n['valid']}").where("col_name = 'Provider'").first()[1] == "parquet"
