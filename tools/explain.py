@@ -33,7 +33,6 @@ def main() -> None:
     a = ap.parse_args()
 
     from pyspark.sql import SparkSession
-    from pyspark.sql import functions as F
 
     from stratum.operators import (
         audit_counts,
