@@ -1,9 +1,9 @@
 """Command-line runner for the flows (one monthly run per call).
 
     spark-submit stratum/run.py ingest-strings --source ".../monthly/{mon_yyyy}/deposits.csv" \\
-        --period jan_2026 --table finance.deposits_raw
-    spark-submit stratum/run.py refine-validated --source finance.deposits_raw \\
-        --valid finance.deposits --rejected finance.deposits_raw_errors --silver finance.deposits_silver
+        --period jan_2026 --table raw.deposits
+    spark-submit stratum/run.py refine-validated --source raw.deposits \\
+        --valid staging.deposits --rejected quarantine.deposits_rejected --silver silver.deposits
 
 Uses the session the platform provides (``getOrCreate``) and prints the
 flow's counts as one JSON line.

@@ -81,7 +81,7 @@ def test_missing_source_raises(spark, tmp_dir):
 
 
 def test_period_path():
-    t = "abfss://dev@acct.dfs.core.windows.net/deposits/monthly/{mon_yyyy}/deposits.csv"
+    t = "s3a://landing/deposits/monthly/{mon_yyyy}/deposits.csv"
     assert period_path(t, mon_yyyy="jan_2026").endswith("/monthly/jan_2026/deposits.csv")
 
 
