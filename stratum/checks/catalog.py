@@ -587,6 +587,33 @@ def flow_refine_append(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, name).select(*[t for _, _, t in SILVER_9])
 
 
+_BRONZE_SQL = f"""{q.dep_ctes()},
+b AS (SELECT {q.nulled_text()}, customer_id, ingestion_timestamp FROM dep WHERE {_LAST_BATCH}),
+v AS (SELECT * FROM b WHERE {q.rules_ok()}),
+p AS (SELECT {q.SILVER_8_CAPS} FROM ({q.cleaned('v', q.DMY, 18)}))
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY Account_id
+    ORDER BY Deposit_date DESC NULLS LAST, {q.order_by(["Deposit_id", "Amount", "Phone_number"] + _CAPS_TIE)}) AS rn
+  FROM p) WHERE rn = 1"""
+
+
+@register("bronze_to_silver", _BRONZE_SQL)
+def bronze_to_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """FLOW-2 three times (one monthly drop each, real clock stamps), then FLOW-4:
+    the latest landed month is validated, quarantined, refined and deduped."""
+    dep = deposits_from_orders(spark, sf, period=True).select(*DEPOSIT_COLUMNS, "mon_yyyy")
+    root = _drop_csv(spark, dep, "monthly", partition_by="mon_yyyy")
+    bronze, bronze_path = scratch_table_name("bronze"), scratch_path(spark, "bronze")
+    for mon in BATCH_PERIODS:  # monthly runs, oldest first
+        ingest_strings(spark, period_path(root + "/mon_yyyy={mon_yyyy}", mon_yyyy=mon), bronze, path=bronze_path)
+    names = {t: scratch_table_name(t) for t in ("valid", "rejected", "silver")}
+    refine_validated(
+        spark, bronze, names["valid"], names["rejected"], names["silver"], dedupe="latest",
+        paths={t: scratch_path(spark, t) for t in names},
+    )
+    return read_table(spark, names["silver"]).select(*_CAPS)
+
+
 # ---------------------------------------------------------------- streaming
 @register(
     "stream_land",
