@@ -22,12 +22,15 @@ def shared_root(spark: SparkSession) -> str:
     Falls back to a fresh local folder (and records it in the session) only
     when ``spark.checkpoint.dir`` is unset, as in tests.
     """
-    root = spark.conf.get(_CONF, None) or spark.sparkContext.getConf().get(_CONF, None)
+    root = spark.conf.get(_CONF, None)
+    if not root:
+        try:  # classic sessions also carry it in the SparkConf; Connect has no SparkContext
+            root = spark.sparkContext.getConf().get(_CONF, None)
+        except Exception:
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="stratum-ckpt-")
         spark.conf.set(_CONF, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
