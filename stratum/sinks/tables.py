@@ -48,6 +48,14 @@ def write_table(
     if mode not in (APPEND, OVERWRITE):
         raise ValueError(f"mode must be append or overwrite, not {mode!r}")
     parts = _as_list(partition_by)
+    if parts and (mode == OVERWRITE or not df.sparkSession.catalog.tableExists(name)):
+        # (Re)create the table empty, then append: creating a partitioned table
+        # from data makes Spark list every new partition folder in a second job
+        # to register it, while an append registers the partitions its own
+        # write reports. Same end state as an overwrite: new schema, every old
+        # partition gone, whatever the session's partitionOverwriteMode.
+        _write(df.limit(0), name, OVERWRITE, fmt, parts, path)
+        mode = APPEND
     if parts and rebalance:
         df = df.hint("rebalance", *parts)
     obs = None
@@ -55,15 +63,20 @@ def write_table(
         # above any exchange: counted in the result stage that writes the files
         obs = Observation(f"stratum_write_{uuid.uuid4().hex[:8]}")
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    _write(df, name, mode, fmt, parts, path)
+    return int(obs.get["rows"]) if obs is not None else None
+
+
+def _write(df: DataFrame, name: str, mode: str, fmt: str | None, parts: list[str], path: str | None) -> None:
     writer = df.write.mode(mode)
     if fmt:
         writer = writer.format(fmt)
     if parts:
+        # an overwrite replaces every partition, whatever the session default
         writer = writer.partitionBy(*parts).option("partitionOverwriteMode", "static")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
-    return int(obs.get["rows"]) if obs is not None else None
 
 
 def append_table(df: DataFrame, name: str, **kw) -> int | None:

@@ -182,3 +182,26 @@ def test_refine_validated_formats_per_table(spark, tmp_dir):
                      paths={k: f"{tmp_dir}/{k}" for k in n})
     assert spark.sql(f"DESCRIBE EXTENDED {n['silver']}").where("col_name = 'Provider'").first()[1] == "orc"
     assert spark.sql(f"DESCRIBE EXTENDED {n['valid']}").where("col_name = 'Provider'").first()[1] == "parquet"
+
+
+def test_partitioned_overwrite_static_even_in_dynamic_session(spark, tmp_dir):
+    t = name("pd")
+    rows = [(1, dt.date(2026, 1, 1)), (2, dt.date(2026, 1, 2))]
+    overwrite_table(spark.createDataFrame(rows, "v int, d date"), t, partition_by="d", path=tmp_dir + "/pd")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        overwrite_table(spark.createDataFrame(rows[:1], "v int, d date"), t, partition_by="d", path=tmp_dir + "/pd")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert [tuple(r) for r in spark.table(t).collect()] == [(1, dt.date(2026, 1, 1))]
+
+
+def test_partitioned_overwrite_replaces_schema(spark, tmp_dir):
+    t = name("ps")
+    overwrite_table(spark.createDataFrame([(1, dt.date(2026, 1, 1))], "v int, d date"), t, partition_by="d",
+                    path=tmp_dir + "/ps")
+    overwrite_table(spark.createDataFrame([("x", 2, dt.date(2026, 1, 2))], "w string, v int, d date"), t,
+                    partition_by="d", path=tmp_dir + "/ps")
+    assert spark.table(t).columns == ["w", "v", "d"]
+    assert [tuple(r) for r in spark.table(t).collect()] == [("x", 2, dt.date(2026, 1, 2))]
