@@ -205,3 +205,12 @@ def test_partitioned_overwrite_replaces_schema(spark, tmp_dir):
                     partition_by="d", path=tmp_dir + "/ps")
     assert spark.table(t).columns == ["w", "v", "d"]
     assert [tuple(r) for r in spark.table(t).collect()] == [("x", 2, dt.date(2026, 1, 2))]
+
+
+def test_partitioned_overwrite_from_itself_is_refused(spark, tmp_dir):
+    t = name("self")
+    rows = [(1, dt.date(2026, 1, 1)), (2, dt.date(2026, 1, 2))]
+    overwrite_table(spark.createDataFrame(rows, "v int, d date"), t, partition_by="d", path=tmp_dir + "/self")
+    with pytest.raises(Exception, match="UNSUPPORTED_OVERWRITE"):
+        overwrite_table(spark.table(t).where("v = 1"), t, partition_by="d", path=tmp_dir + "/self")
+    assert sorted(r.v for r in spark.table(t).collect()) == [1, 2]
