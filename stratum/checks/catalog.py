@@ -467,7 +467,10 @@ def overwrite_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     """SNK-4: static overwrite of a date-partitioned table drops every old date."""
     name, path = scratch_table_name("silver"), scratch_path(spark, "silver")
     for part in _batches(deposits_from_orders(spark, sf)):
-        overwrite_table(project_to(clean_deposits(part), SILVER_8), name, partition_by="deposit_date", path=path)
+        overwrite_table(
+            project_to(clean_deposits(part), SILVER_8), name, partition_by="deposit_date", path=path,
+            max_rows=part.count(),
+        )
     return read_table(spark, name).select(*[t for _, _, t in SILVER_8])
 
 
@@ -480,7 +483,9 @@ def append_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     name, path = scratch_table_name("silver9"), scratch_path(spark, "silver9")
     for part in _batches(deposits_iso(spark, sf)):
         cleaned = clean_deposits(part, DATE_ISO, 18, customer_id=True)
-        append_table(project_to(cleaned, SILVER_9), name, partition_by="deposit_date", path=path)
+        append_table(
+            project_to(cleaned, SILVER_9), name, partition_by="deposit_date", path=path, max_rows=part.count()
+        )
     return read_table(spark, name).select(*[t for _, _, t in SILVER_9])
 
 

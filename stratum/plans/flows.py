@@ -8,9 +8,10 @@ no counting jobs of their own:
   one append job.
 * ``refine_replace`` / ``refine_append``: one tiny job pinning the latest
   stamp (a one-column max; NULL means no batch, so it is also the emptiness
-  guard) + one write job.
+  guard), a count of the pruned batch (an upper bound that lets the sink pick
+  its partitioned-write strategy by size) + one write job.
 * ``refine_validated``: the pinning job + three write jobs (rejects, valid,
-  silver). Both batch reads use the pinned literal, so they see the same
+  silver; the valid count observed on the second bounds the third). Both batch reads use the pinned literal, so they see the same
   batch even if another load lands meanwhile, and the filter prunes row
   groups at planning time. Silver is built from the validated table just
   written, so the raw history is not read a third time and lineage is cut at
@@ -191,7 +192,10 @@ def refine_replace(
     """FLOW-3: overwrite the silver table, partitioned by date, with the latest batch."""
     batch = pinned_batch(read_table(spark, source_table), empty_batch)
     silver = refine_batch(batch, dedupe, contract, date_format, precision, strict)
-    n = overwrite_table(silver, target_table, fmt=fmt, partition_by=_date_target(contract), path=path, count=True)
+    n = overwrite_table(
+        silver, target_table, fmt=fmt, partition_by=_date_target(contract), path=path, count=True,
+        max_rows=batch.count(),  # proven bound: the pruned batch, counted from its row groups
+    )
     return {"written": n or 0}
 
 
@@ -256,13 +260,13 @@ def refine_validated(
         F.count_if(~ok).alias("rejected"),
     )
     overwrite_table(validate(observed, rules), valid_table, fmt=fmts["valid"], path=paths.get("valid"))
+    audit = {k: int(v) for k, v in obs.get.items()}
 
     silver = silver_from_valid(read_table(spark, valid_table), dedupe, contract, date_format, precision, strict)
     n_silver = overwrite_table(
         silver, silver_table, fmt=fmts["silver"], partition_by=_date_target(contract), path=paths.get("silver"),
-        count=True,
+        count=True, max_rows=audit["valid"],  # silver keeps at most the valid rows
     )
-    audit = {k: int(v) for k, v in obs.get.items()}
     audit.update(rejected_written=n_rej or 0, written=n_silver or 0)
     return audit
 
@@ -304,5 +308,8 @@ def refine_append(
     """FLOW-5: append the latest validated batch to the history-keeping silver table."""
     batch = pinned_batch(read_table(spark, source_table), empty_batch)
     silver = append_batch(batch, contract, date_format, precision, strict)
-    n = append_table(silver, target_table, fmt=fmt, partition_by=_date_target(contract), path=path, count=True)
+    n = append_table(
+        silver, target_table, fmt=fmt, partition_by=_date_target(contract), path=path, count=True,
+        max_rows=batch.count(),
+    )
     return {"written": n or 0}

@@ -214,3 +214,16 @@ def test_partitioned_overwrite_from_itself_is_refused(spark, tmp_dir):
     with pytest.raises(Exception, match="UNSUPPORTED_OVERWRITE"):
         overwrite_table(spark.table(t).where("v = 1"), t, partition_by="d", path=tmp_dir + "/self")
     assert sorted(r.v for r in spark.table(t).collect()) == [1, 2]
+
+
+def test_small_bounded_write_uses_fixed_writers(spark, tmp_dir):
+    from stratum.sinks.tables import SMALL_WRITE_ROWS
+
+    df = spark.range(300).withColumn("d", F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 30).cast("int")))
+    t = name("small")
+    assert overwrite_table(df, t, partition_by="d", path=tmp_dir + "/small", count=True, max_rows=300) == 300
+    writers = {f.split("-")[1] for p in os.listdir(tmp_dir + "/small") if p.startswith("d=")
+               for f in os.listdir(f"{tmp_dir}/small/{p}") if f.endswith(".parquet")}
+    assert len(writers) > 1  # hash-partitioned by date over several writer tasks
+    assert spark.table(t).count() == 300
+    assert SMALL_WRITE_ROWS >= 1_000_000
