@@ -27,8 +27,6 @@ def session(cpus: int) -> SparkSession:
         .appName("stratum-bench")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
-        # small inputs: let AQE keep one writer per core for many-date partitioned writes
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "4KB")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
