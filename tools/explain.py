@@ -74,9 +74,12 @@ def main() -> None:
         ("Keep-first dedupe (DED-1)",
          "`WindowGroupLimit` Partial before the exchange bounds a hot key to one row per map task.",
          dedupe_by_account(pinned, "first")),
-        ("FLOW-3 silver, as written",
-         "Dedupe exchange, then the `REBALANCE(deposit_date)` exchange that the partitioned sink adds.",
+        ("FLOW-3 silver, as written without a size bound",
+         "Dedupe exchange, then the `REBALANCE(deposit_date)` exchange: AQE splits hot dates, merges small ones.",
          silver.hint("rebalance", "deposit_date")),
+        ("FLOW-3 silver, as written under a proven small bound",
+         "Fixed-width hash partitioning by date (`max_rows` <= 2M): one writer per shuffle partition.",
+         silver.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "deposit_date")),
         ("Keep-any dedupe (AGG-3)", "Partial aggregate before the exchange.",
          dedupe_by_account(pinned, "any")),
     ]
