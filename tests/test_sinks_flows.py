@@ -227,3 +227,19 @@ def test_small_bounded_write_uses_fixed_writers(spark, tmp_dir):
     assert len(writers) > 1  # hash-partitioned by date over several writer tasks
     assert spark.table(t).count() == 300
     assert SMALL_WRITE_ROWS >= 1_000_000
+
+
+def test_every_silver_row_traces_to_a_batch_row(spark, tmp_dir):
+    from stratum.operators import SILVER_8, SILVER_8_CAPS, clean_deposits, project_to
+
+    dep = deposits_from_orders(spark, SF_SMALL)
+    raw = land_raw(spark, dep, tmp_dir)
+    batch = latest_batch(spark.table(raw))
+    out = name("trace3")
+    refine_replace(spark, raw, out, dedupe="any", path=f"{tmp_dir}/trace3")
+    assert spark.table(out).select(*[t for _, _, t in SILVER_8]).exceptAll(
+        project_to(clean_deposits(batch), SILVER_8)).isEmpty()
+    n = {k: name(k) for k in ("valid", "rejected", "silver")}
+    refine_validated(spark, raw, n["valid"], n["rejected"], n["silver"], paths={k: f"{tmp_dir}/t4{k}" for k in n})
+    cleaned = project_to(clean_deposits(batch, precision=18), SILVER_8_CAPS)
+    assert spark.table(n["silver"]).select(*[t for _, _, t in SILVER_8_CAPS]).exceptAll(cleaned).isEmpty()
