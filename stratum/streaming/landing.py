@@ -37,12 +37,15 @@ def land_new_drops(
     fmt: str | None = None,
     path: str | None = None,
     with_source_file: bool = True,
+    **options: str,
 ) -> dict[str, int]:
     """Land every not-yet-landed CSV file under ``source_dir`` into ``table``.
 
     Returns ``{"rows": n, "batches": b}`` for this run. ``checkpoint``
     defaults to a fresh folder below the shared checkpoint root; pass a
-    fixed one to resume across runs.
+    fixed one to resume across runs. ``options`` go to the file source, e.g.
+    ``cleanSource="archive", sourceArchiveDir=...`` to move landed drops out
+    of the folder so that later runs do not list years of old files.
     """
     reader = (
         spark.readStream.schema(schema)
@@ -53,6 +56,8 @@ def land_new_drops(
     )
     if CORRUPT_COL in schema.fieldNames():
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
+    for k, v in options.items():
+        reader = reader.option(k, v)
     stream = stamp_ingestion(reader.csv(source_dir))
     if with_source_file:
         stream = stamp_source_file(stream)

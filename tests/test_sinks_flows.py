@@ -243,3 +243,12 @@ def test_every_silver_row_traces_to_a_batch_row(spark, tmp_dir):
     refine_validated(spark, raw, n["valid"], n["rejected"], n["silver"], paths={k: f"{tmp_dir}/t4{k}" for k in n})
     cleaned = project_to(clean_deposits(batch, precision=18), SILVER_8_CAPS)
     assert spark.table(n["silver"]).select(*[t for _, _, t in SILVER_8_CAPS]).exceptAll(cleaned).isEmpty()
+
+
+def test_stream_landing_archives_landed_drops(spark, tmp_dir):
+    dep = deposits_from_orders(spark, SF_SMALL).select(*DEPOSIT_COLUMNS)
+    root, archive, t = tmp_dir + "/drops2", tmp_dir + "/archive", name("stream2")
+    write_csv(dep, root + "/jan_2026")
+    res = land_new_drops(spark, root, string_schema(DEPOSIT_COLUMNS), t, checkpoint=tmp_dir + "/ckpt2",
+                         path=tmp_dir + "/s2", cleanSource="archive", sourceArchiveDir=archive)
+    assert res["rows"] == 1530 == spark.table(t).count()
