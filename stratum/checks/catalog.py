@@ -36,11 +36,19 @@ from stratum.plans.flows import (
 from stratum.scratch import scratch_path, scratch_table_name
 from stratum.sinks.files import write_csv, write_text
 from stratum.sinks.tables import append_table, overwrite_table, write_split
-from stratum.sources.derived import BATCH_PERIODS, BATCH_STAMPS, deposits_from_orders, deposits_iso
+from stratum.sources.derived import (
+    BATCH_PERIODS,
+    BATCH_STAMPS,
+    deposits_from_orders,
+    deposits_iso,
+    qa_structure_from_parts,
+)
 from stratum.sources.files import (
     CORRUPT_COL,
     DEPOSIT_COLUMNS,
+    QA_STRUCTURE_COLUMNS,
     period_path,
+    qa_structure_schema,
     read_csv_declared,
     read_csv_strings,
     string_schema,
@@ -528,6 +536,34 @@ def flow_ingest_declared(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_QA_SQL = f"""
+SELECT 'F' || CAST(p_partkey AS VARCHAR) AS feature_id, p_name AS feature_name, p_type AS test_type,
+       p_brand AS framework, 'src-' || CAST(p_size % 5 AS VARCHAR) AS input_source,
+       CAST(p_size AS VARCHAR) AS coverage_metric, CAST(p_size * 2 AS VARCHAR) AS test_quality_metric,
+       '2026-01-' || lpad(CAST(p_partkey % 28 + 1 AS VARCHAR), 2, '0') AS generation_date,
+       CASE WHEN p_partkey % 2 = 0 THEN 'done' ELSE 'open' END AS status,
+       CAST(NULL AS VARCHAR) AS {CORRUPT_COL}, TIMESTAMP '{FIXED_STAMP}' AS ingestion_timestamp,
+       TRUE AS from_csv_file
+FROM part"""
+
+
+@register("flow_ingest_qa", _QA_SQL)
+def flow_ingest_qa(spark: SparkSession, sf: str) -> DataFrame:
+    """FLOW-1 with its own declared schema: the QA-structure drop (nine text
+    columns + ``_corrupt_record``), derived from ``part``."""
+    src = scratch_path(spark, "qa-drop")
+    write_csv(qa_structure_from_parts(spark, sf), f"{src}/jan_2026/project_structure.csv")
+    name = scratch_table_name("qa_raw")
+    ingest_declared(
+        spark, period_path(src + "/{mon_yyyy}/project_structure.csv", mon_yyyy="jan_2026"), name,
+        qa_structure_schema(), ingestion_ts=_fixed_stamp(), path=scratch_path(spark, "qa_raw"),
+    )
+    return read_table(spark, name).select(
+        *QA_STRUCTURE_COLUMNS, CORRUPT_COL, "ingestion_timestamp",
+        F.col("source_file_name").endswith(".csv").alias("from_csv_file"),
+    )
+
+
 @register(
     "flow_ingest_strings",
     f"{q.dep_ctes()} SELECT {q.nulled_text()}, TIMESTAMP '{FIXED_STAMP}' AS ingestion_timestamp FROM dep",

@@ -87,3 +87,22 @@ def deposits_from_orders(
 def deposits_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same view with ISO date text, as the validated staging table holds it."""
     return deposits_from_orders(spark, sf_dir, DATE_ISO)
+
+
+def qa_structure_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QA-structure rows (the declared landing schema's nine text columns)
+    derived from the ``part`` table, one per part: integer and text arithmetic
+    only, so any engine derives the same text."""
+    p = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
+    k = F.col("p_partkey")
+    return p.select(
+        F.concat(F.lit("F"), k.cast("string")).alias("feature_id"),
+        F.col("p_name").alias("feature_name"),
+        F.col("p_type").alias("test_type"),
+        F.col("p_brand").alias("framework"),
+        F.concat(F.lit("src-"), (F.col("p_size") % 5).cast("string")).alias("input_source"),
+        F.col("p_size").cast("string").alias("coverage_metric"),
+        (F.col("p_size") * 2).cast("string").alias("test_quality_metric"),
+        F.concat(F.lit("2026-01-"), F.lpad((k % 28 + 1).cast("string"), 2, "0")).alias("generation_date"),
+        F.when(k % 2 == 0, F.lit("done")).otherwise(F.lit("open")).alias("status"),
+    )
