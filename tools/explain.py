@@ -32,7 +32,8 @@ def main() -> None:
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     a = ap.parse_args()
 
-    from pyspark.sql import SparkSession
+    from pyspark.sql import Observation, SparkSession
+    from pyspark.sql import functions as F
 
     from stratum.operators import (
         audit_counts,
@@ -82,6 +83,10 @@ def main() -> None:
          silver.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "deposit_date")),
         ("Keep-any dedupe (AGG-3)", "Partial aggregate before the exchange.",
          dedupe_by_account(pinned, "any")),
+        ("Observed write count (sinks)",
+         "`CollectMetrics` sits above the exchange, in the result stage that writes the files.",
+         silver.hint("rebalance", "deposit_date").observe(
+             Observation("rows"), F.count(F.lit(1)).alias("rows"))),
     ]
     out = ["# Physical plans", "",
            f"Generated by `tools/explain.py` over a landed raw table at `{os.path.basename(a.sf)}`.", ""]
