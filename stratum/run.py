@@ -20,6 +20,9 @@ if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+from stratum.functions.values import DATE_DAY_FIRST, DATE_ISO  # noqa: E402
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="stratum")
     sub = p.add_subparsers(dest="flow", required=True)
@@ -40,19 +43,30 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--dedupe", default="any", choices=["any", "first", "latest"])
     s.add_argument("--caps", action="store_true", help="capitalised output names")
     s.add_argument("--precision", type=int, default=15)
+    s.add_argument("--date-format", default=DATE_DAY_FIRST)
+    s.add_argument("--format", default=None, help="table format of the target, e.g. delta")
 
     s = sub.add_parser("refine-validated")
     for a in ("--source", "--valid", "--rejected", "--silver"):
         s.add_argument(a, required=True)
     s.add_argument("--rejects", default="distinct", choices=["distinct", "all"])
     s.add_argument("--dedupe", default="any", choices=["any", "first", "latest"])
+    s.add_argument("--precision", type=int, default=18)
+    s.add_argument("--date-format", default=DATE_DAY_FIRST)
+    s.add_argument("--silver-format", default=None, help="table format of the silver table, e.g. delta")
 
     s = sub.add_parser("refine-append")
     s.add_argument("--source", required=True)
     s.add_argument("--target", required=True)
+    s.add_argument("--precision", type=int, default=18)
+    s.add_argument("--date-format", default=DATE_ISO)
+    s.add_argument("--format", default=None)
 
-    for s in sub.choices.values():
+    for name, s in sub.choices.items():
         s.add_argument("--strict", action="store_true", help="fail on unparseable values instead of NULL")
+        if name.startswith("refine"):
+            s.add_argument("--empty-batch", default="stop", choices=["stop", "pass"],
+                           help="stop on an empty latest batch, or pass it on (an overwrite then erases)")
     return p
 
 
@@ -76,15 +90,21 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.flow == "refine-replace":
         out = plans.refine_replace(
             spark, args.source, args.target, dedupe=args.dedupe,
-            contract=SILVER_8_CAPS if args.caps else SILVER_8, precision=args.precision, strict=args.strict,
+            contract=SILVER_8_CAPS if args.caps else SILVER_8, date_format=args.date_format,
+            precision=args.precision, strict=args.strict, empty_batch=args.empty_batch, fmt=args.format,
         )
     elif args.flow == "refine-validated":
         out = plans.refine_validated(
             spark, args.source, args.valid, args.rejected, args.silver, rejects=args.rejects,
-            dedupe=args.dedupe, strict=args.strict,
+            dedupe=args.dedupe, date_format=args.date_format, precision=args.precision, strict=args.strict,
+            empty_batch=args.empty_batch,
+            formats={"silver": args.silver_format} if args.silver_format else None,
         )
     else:
-        out = plans.refine_append(spark, args.source, args.target, strict=args.strict)
+        out = plans.refine_append(
+            spark, args.source, args.target, date_format=args.date_format, precision=args.precision,
+            strict=args.strict, empty_batch=args.empty_batch, fmt=args.format,
+        )
     print(json.dumps({"flow": args.flow, **out}))
     return out
 

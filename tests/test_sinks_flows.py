@@ -252,3 +252,16 @@ def test_stream_landing_archives_landed_drops(spark, tmp_dir):
     res = land_new_drops(spark, root, string_schema(DEPOSIT_COLUMNS), t, checkpoint=tmp_dir + "/ckpt2",
                          path=tmp_dir + "/s2", cleanSource="archive", sourceArchiveDir=archive)
     assert res["rows"] == 1530 == spark.table(t).count()
+
+
+def test_empty_batch_erases_silver_only_on_request(spark, tmp_dir):
+    raw = land_raw(spark, deposits_from_orders(spark, SF_SMALL), tmp_dir)
+    out = name("erase")
+    refine_replace(spark, raw, out, path=f"{tmp_dir}/erase")
+    assert spark.table(out).count() > 0
+    empty = land_raw(spark, deposits_from_orders(spark, SF_SMALL).limit(0), tmp_dir)
+    with pytest.raises(EmptyBatchError):
+        refine_replace(spark, empty, out, path=f"{tmp_dir}/erase")
+    assert spark.table(out).count() > 0  # stop: silver untouched
+    res = refine_replace(spark, empty, out, path=f"{tmp_dir}/erase", empty_batch="pass")
+    assert res["written"] == 0 and spark.table(out).count() == 0  # pass: the overwrite erases
