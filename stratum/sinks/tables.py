@@ -30,6 +30,9 @@ from pyspark.sql import functions as F
 
 APPEND, OVERWRITE = "append", "overwrite"
 
+# Hive-style file-source table formats (partitions tracked in the catalog).
+FILE_FORMATS = {"parquet", "orc", "csv", "json", "avro", "text"}
+
 # Upper bound on rows for the fixed-width partitioned write (see module doc).
 SMALL_WRITE_ROWS = 2_000_000
 
@@ -61,12 +64,16 @@ def write_table(
     if mode not in (APPEND, OVERWRITE):
         raise ValueError(f"mode must be append or overwrite, not {mode!r}")
     parts = _as_list(partition_by)
-    if parts and (mode == OVERWRITE or not df.sparkSession.catalog.tableExists(name)):
-        # (Re)create the table empty, then append: creating a partitioned table
-        # from data makes Spark list every new partition folder in a second job
-        # to register it, while an append registers the partitions its own
-        # write reports. Same end state as an overwrite: new schema, every old
-        # partition gone, whatever the session's partitionOverwriteMode.
+    spark = df.sparkSession
+    exists = spark.catalog.tableExists(name)
+    if parts and (mode == OVERWRITE or not exists) and _file_format(spark, name, fmt, exists):
+        # (Re)create the table empty, then append: creating a partitioned
+        # file-source table from data makes Spark list every new partition
+        # folder in a second job to register it, while an append registers the
+        # partitions its own write reports. Same end state as an overwrite: new
+        # schema, every old partition gone, whatever the session's
+        # partitionOverwriteMode. Transactional formats (e.g. Delta) keep their
+        # single atomic overwrite instead.
         _write(df.limit(0), name, OVERWRITE, fmt, parts, path)
         mode = APPEND
     if parts and rebalance:
@@ -83,6 +90,17 @@ def write_table(
     return int(obs.get["rows"]) if obs is not None else None
 
 
+def _file_format(spark, name: str, fmt: str | None, exists: bool) -> bool:
+    """Whether the target is (or will be) a Hive-style file-source table."""
+    provider = fmt
+    if provider is None and exists:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Provider'").collect()
+        provider = rows[0][1] if rows else None
+    if provider is None:
+        provider = spark.conf.get("spark.sql.sources.default", "parquet")
+    return str(provider).lower() in FILE_FORMATS
+
+
 def _writers(df: DataFrame) -> int:
     """Writer tasks for a small partitioned write: the session's shuffle width."""
     try:

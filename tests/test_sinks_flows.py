@@ -265,3 +265,13 @@ def test_empty_batch_erases_silver_only_on_request(spark, tmp_dir):
     assert spark.table(out).count() > 0  # stop: silver untouched
     res = refine_replace(spark, empty, out, path=f"{tmp_dir}/erase", empty_batch="pass")
     assert res["written"] == 0 and spark.table(out).count() == 0  # pass: the overwrite erases
+
+
+def test_two_step_creation_only_for_file_formats(spark, tmp_dir):
+    from stratum.sinks.tables import _file_format
+
+    t = name("fmt")
+    append_table(spark.range(3), t, fmt="orc", path=tmp_dir + "/fmt")
+    assert _file_format(spark, t, None, True)  # existing ORC table
+    assert _file_format(spark, name("new"), None, False)  # session default (parquet)
+    assert not _file_format(spark, name("new"), "delta", False)  # transactional: one atomic overwrite
