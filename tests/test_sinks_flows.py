@@ -275,3 +275,19 @@ def test_two_step_creation_only_for_file_formats(spark, tmp_dir):
     assert _file_format(spark, t, None, True)  # existing ORC table
     assert _file_format(spark, name("new"), None, False)  # session default (parquet)
     assert not _file_format(spark, name("new"), "delta", False)  # transactional: one atomic overwrite
+
+
+def test_strict_flow_fails_on_bad_amount_lenient_gives_null(spark, tmp_dir):
+    from stratum.plans import dedupe_by_account
+
+    dep = deposits_from_orders(spark, SF_SMALL)
+    # a row of the latest batch that keep-first dedupe keeps
+    target = dedupe_by_account(latest_batch(dep), "first").where("deposit_id LIKE 'D%'").first().deposit_id
+    bad = dep.withColumn("amount", F.when(F.col("deposit_id") == target, F.lit("($5.00)")).otherwise(F.col("amount")))
+    raw = land_raw(spark, bad, tmp_dir)
+    with pytest.raises(Exception):
+        refine_replace(spark, raw, name("strict"), dedupe="first", strict=True, path=f"{tmp_dir}/strict")
+    out = name("lenient")
+    refine_replace(spark, raw, out, dedupe="first", path=f"{tmp_dir}/lenient")
+    row = spark.table(out).where(F.col("deposit_id") == target).collect()
+    assert len(row) == 1 and row[0].amount is None
