@@ -1,21 +1,21 @@
 """User-level flows (FLOW-1..FLOW-5): landing and refining a monthly batch.
 
-Each flow is a handful of lazy DataFrame steps ending in one or two writes;
-row counts come from ``Observation`` metrics on those writes, so the flows run
-no counting jobs of their own:
+Each flow is a handful of lazy DataFrame steps ending in one to three
+writes; the counts it reports come from ``Observation`` metrics on those
+writes, never from a rescan:
 
-* ``ingest_declared`` / ``ingest_strings``: emptiness check (one-row limit) +
-  one append job.
+* ``ingest_declared``: emptiness check (one-row limit) + one append job;
+  ``ingest_strings``: one append job (its landing step has no guard).
 * ``refine_replace`` / ``refine_append``: one tiny job pinning the latest
   stamp (a one-column max; NULL means no batch, so it is also the emptiness
   guard), a count of the pruned batch (an upper bound that lets the sink pick
   its partitioned-write strategy by size) + one write job.
 * ``refine_validated``: the pinning job + three write jobs (rejects, valid,
-  silver; the valid count observed on the second bounds the third). Both batch reads use the pinned literal, so they see the same
-  batch even if another load lands meanwhile, and the filter prunes row
-  groups at planning time. Silver is built from the validated table just
-  written, so the raw history is not read a third time and lineage is cut at
-  a table.
+  silver; the valid count observed on the second bounds the third). Both
+  batch reads use the pinned literal, so they see the same batch even if
+  another load lands meanwhile, and the filter prunes row groups at planning
+  time. Silver is built from the validated table just written, so the raw
+  history is not read a third time and lineage is cut at a table.
 
 The ``*_plan`` functions are the same steps as lazy DataFrames (latest batch
 as a scalar subquery) with no sink, for composition and inspection.
