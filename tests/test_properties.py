@@ -102,3 +102,32 @@ def test_split_invariants(spark, rows):
     assert n_valid == sum(1 for k, _, w in rows if model_present(w) and model_present(k))
     assert reject_distinct(df, rules).count() == len({r for r in rows if not (model_present(r[2]) and model_present(r[0]))})
     assert reject_all(df, rules).count() == n_rej
+
+
+def model_date(v):
+    import datetime as dt
+
+    m = re.fullmatch(r"(\d{2})-(\d{2})-(\d{4}) (\d{2}):(\d{2})", v)
+    if not m:
+        return None
+    d, mo, y, h, mi = map(int, m.groups())
+    if h > 23 or mi > 59:
+        return None
+    try:
+        return dt.date(y, mo, d)
+    except ValueError:
+        return None
+
+
+day_first_text = st.builds(
+    lambda d, mo, y, h, mi: f"{d:02d}-{mo:02d}-{y:04d} {h:02d}:{mi:02d}",
+    st.integers(0, 39), st.integers(0, 19), st.integers(1900, 2100), st.integers(0, 29), st.integers(0, 69),
+)
+
+
+@SETTINGS
+@given(st.lists(day_first_text, min_size=1, max_size=40))
+def test_day_first_date_matches_model(spark, values):
+    from stratum.functions import parse_date
+
+    assert spark_values(spark, values, parse_date) == [model_date(v) for v in values]
