@@ -131,3 +131,34 @@ def test_day_first_date_matches_model(spark, values):
     from stratum.functions import parse_date
 
     assert spark_values(spark, values, parse_date) == [model_date(v) for v in values]
+
+
+def model_iso_date(v):
+    import datetime as dt
+
+    m = re.fullmatch(r"(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})", v)
+    if not m:
+        return None
+    y, mo, d, h, mi, s = map(int, m.groups())
+    if h > 23 or mi > 59 or s > 59:
+        return None
+    try:
+        return dt.date(y, mo, d)
+    except ValueError:
+        return None
+
+
+iso_text = st.builds(
+    lambda y, mo, d, h, mi, s: f"{y:04d}-{mo:02d}-{d:02d} {h:02d}:{mi:02d}:{s:02d}",
+    st.integers(1900, 2100), st.integers(0, 19), st.integers(0, 39), st.integers(0, 29), st.integers(0, 69),
+    st.integers(0, 69),
+)
+
+
+@SETTINGS
+@given(st.lists(iso_text, min_size=1, max_size=40))
+def test_iso_date_matches_model(spark, values):
+    from stratum.functions import parse_date
+    from stratum.functions.values import DATE_ISO
+
+    assert spark_values(spark, values, lambda c: parse_date(c, DATE_ISO)) == [model_iso_date(v) for v in values]
