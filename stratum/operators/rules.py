@@ -5,9 +5,9 @@ coded), SET-2 (every rejected row, so valid + rejected = batch).
 
 A rule is a ``(name, Column)`` pair. A rule that evaluates to NULL counts as
 failed: the valid side keeps rows where the conjunction is TRUE, the rejected
-side keeps all others. Both sides are filters over one scan; the distinct
-reading adds one aggregate (map-side partial, so repeated rows collapse before
-the shuffle).
+side keeps all others. Both sides are plain filters of the same input (no
+join); the distinct reading adds one aggregate (map-side partial, so repeated
+rows collapse before the shuffle).
 """
 
 from __future__ import annotations
