@@ -73,8 +73,9 @@ def write_table(
         # partitions its own write reports. Same end state as an overwrite: new
         # schema, every old partition gone, whatever the session's
         # partitionOverwriteMode. Transactional formats (e.g. Delta) keep their
-        # single atomic overwrite instead.
-        _write(df.limit(0), name, OVERWRITE, fmt, parts, path)
+        # single atomic overwrite instead. An append that creates the table
+        # does so in the caller's mode, exactly as a plain saveAsTable would.
+        _write(df.limit(0), name, mode, fmt, parts, path)
         mode = APPEND
     if parts and rebalance:
         if max_rows is not None and max_rows <= SMALL_WRITE_ROWS:

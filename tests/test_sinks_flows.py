@@ -291,3 +291,20 @@ def test_strict_flow_fails_on_bad_amount_lenient_gives_null(spark, tmp_dir):
     refine_replace(spark, raw, out, dedupe="first", path=f"{tmp_dir}/lenient")
     row = spark.table(out).where(F.col("deposit_id") == target).collect()
     assert len(row) == 1 and row[0].amount is None
+
+
+def test_append_creating_a_table_at_a_used_path_matches_save_as_table(spark, tmp_dir):
+    """Creating a table at a folder that already holds files behaves as a plain
+    ``saveAsTable`` does (Spark writes a new table's location afresh)."""
+    new = spark.createDataFrame([(2, dt.date(2026, 1, 2))], "v int, d date")
+    seen = []
+    for how in ("plain", "sink"):
+        spark.createDataFrame([(1, dt.date(2026, 1, 1))], "v int, d date").write.partitionBy("d").parquet(
+            f"{tmp_dir}/{how}")
+        t = name(how)
+        if how == "plain":
+            new.write.mode("append").partitionBy("d").option("path", f"{tmp_dir}/{how}").saveAsTable(t)
+        else:
+            append_table(new, t, partition_by="d", path=f"{tmp_dir}/{how}")
+        seen.append(sorted(r.v for r in spark.table(t).collect()))
+    assert seen[0] == seen[1]
