@@ -54,6 +54,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--precision", type=int, default=18)
     s.add_argument("--date-format", default=DATE_DAY_FIRST)
     s.add_argument("--silver-format", default=None, help="table format of the silver table, e.g. delta")
+    s.add_argument("--valid-format", default=None)
+    s.add_argument("--rejected-format", default=None)
 
     s = sub.add_parser("refine-append")
     s.add_argument("--source", required=True)
@@ -98,7 +100,8 @@ def main(argv: list[str] | None = None) -> dict:
             spark, args.source, args.valid, args.rejected, args.silver, rejects=args.rejects,
             dedupe=args.dedupe, date_format=args.date_format, precision=args.precision, strict=args.strict,
             empty_batch=args.empty_batch,
-            formats={"silver": args.silver_format} if args.silver_format else None,
+            formats={k: v for k, v in (("silver", args.silver_format), ("valid", args.valid_format),
+                                         ("rejected", args.rejected_format)) if v} or None,
         )
     else:
         out = plans.refine_append(
