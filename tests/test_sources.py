@@ -97,3 +97,11 @@ def test_require_batch_on_empty_table(spark):
 def test_corrupt_column_name(spark):
     assert qa_structure_schema().fieldNames()[-1] == CORRUPT_COL
     assert len(qa_structure_schema().fieldNames()) == 10
+
+
+def test_period_path_extra_parameters():
+    t = "s3a://{account}/qa/project_structure/{mon_yyyy}/project_structure.csv"
+    assert period_path(t, mon_yyyy="feb_2026", account="lake") == (
+        "s3a://lake/qa/project_structure/feb_2026/project_structure.csv")
+    with pytest.raises(KeyError):
+        period_path(t, mon_yyyy="feb_2026")
