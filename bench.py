@@ -102,10 +102,13 @@ def main() -> None:
         ("dedupe_latest_all", lambda: drain(dedupe_by_account(raw_df, "latest"))),
     ]
     times: dict[str, float] = {}
+    counts: dict[str, dict] = {}
     for name, fn in cases:
         t0 = time.perf_counter()
-        fn()
+        out = fn()
         times[name] = round(time.perf_counter() - t0, 3)
+        if isinstance(out, dict):
+            counts[name] = out
 
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
@@ -115,6 +118,7 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "rows_raw": drain(raw_df),
+        "flow_counts": counts,
         "cpus": cpus,
     }))
     spark.stop()
