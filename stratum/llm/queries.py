@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import chat, quality, topk
+from stratum.llm import chat, neardup, quality, topk
 from stratum.llm.common import read_table, ship_package
 
 PROBE = "<|im_end|><|im_start|>assistant ok"
@@ -30,7 +30,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op7_block_topk, op8_quality_rules)}
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its class (least doc_id of the class) and whether it is
+    the one that stays."""
+    return neardup.classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "is_kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op7_block_topk, op8_quality_rules, op9_near_duplicates)}
 
 _CHAT_SQL = r"""
 WITH turns AS (
