@@ -6,9 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import chat, neardup, quality, topk
+from stratum.llm import chat, neardup, packing, quality, tokenfile, topk
 from stratum.llm.common import read_table, ship_package
+from stratum.scratch import scratch_path
 
+# Fixed value: both turns of the extra conversation.
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -20,6 +22,22 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows.unionByName(probe)))
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-blocks")
+    tokenfile.write_blocks(read_table(spark, sf_dir, "documents"), path, _vocabulary("word_bpe_49k.json"), end_id=1)
+    return tokenfile.read_blocks(spark, path)
+
+
+def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), end_id=0)
+
+
 def op7_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     vectors = topk.quantised(read_table(spark, sf_dir, "embeddings"))
@@ -36,7 +54,8 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "is_kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op7_block_topk, op8_quality_rules, op9_near_duplicates)}
+QUERIES = {f.__name__: f for f in (
+    op1_chat_format, op3_token_blocks, op4_curve_packing, op7_block_topk, op8_quality_rules, op9_near_duplicates)}
 
 _CHAT_SQL = r"""
 WITH turns AS (

@@ -47,13 +47,13 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1]
 
 
-def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
-    """(index of the first text, texts as bytes) in pieces of about CHUNK_BYTES;
+def chunks(texts: list[str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """(index of the first text, texts as bytes) in pieces of about ``limit`` bytes;
     null is the empty text, a longer text is a piece of its own."""
     start, size, piece = 0, 0, []
     for i, t in enumerate(texts):
         b = t.encode("utf-8", "surrogatepass") if t else b""
-        if piece and size + len(b) > CHUNK_BYTES:
+        if piece and size + len(b) > limit:
             yield start, piece
             start, size, piece = i, 0, []
         piece.append(b)
@@ -62,17 +62,26 @@ def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
         yield start, piece
 
 
-def words(piece: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, text index) of every word of the texts, in order."""
-    buf = np.frombuffer(b"\n".join(piece) + b"\n", dtype=np.uint8)
+def word_starts(buf: np.ndarray) -> np.ndarray:
+    """Positions at which a word begins."""
     space = _SPACE[buf]
-    first = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
+    return np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
+
+
+def word_hashes(buf: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hash of the word at each of the positions (all of the buffer's words)."""
     if not len(first):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64)
     power, unpower = _power(len(buf))
-    h = np.add.reduceat(_VALUE[buf] * power, first) * unpower[first]
+    return mix(np.add.reduceat(_VALUE[buf] * power, first) * unpower[first])
+
+
+def words(piece: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text index) of every word of the texts, in order."""
+    buf = np.frombuffer(b"\n".join(piece) + b"\n", dtype=np.uint8)
+    first = word_starts(buf)
     begins = np.cumsum([0] + [len(b) + 1 for b in piece[:-1]])
-    return mix(h), np.searchsorted(begins, first, side="right") - 1
+    return word_hashes(buf, first), np.searchsorted(begins, first, side="right") - 1
 
 
 def shingles(h: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
