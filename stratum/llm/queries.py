@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import chat, neardup, packing, quality, tokenfile, topk
+from stratum.llm import chat, langid, neardup, packing, quality, tokenfile, topk
 from stratum.llm.common import read_table, ship_package
 from stratum.scratch import scratch_path
 
@@ -38,6 +38,13 @@ def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), end_id=0)
 
 
+def op5_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    samples = langid.fit(docs, ~langid.held_out(F.col("doc_id"), 4, 2))
+    found = langid.identify(docs, samples)
+    return found.select("doc_id", langid.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op7_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     vectors = topk.quantised(read_table(spark, sf_dir, "embeddings"))
@@ -55,7 +62,8 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_format, op3_token_blocks, op4_curve_packing, op7_block_topk, op8_quality_rules, op9_near_duplicates)}
+    op1_chat_format, op3_token_blocks, op4_curve_packing, op5_cross_parsing, op7_block_topk, op8_quality_rules,
+    op9_near_duplicates)}
 
 _CHAT_SQL = r"""
 WITH turns AS (

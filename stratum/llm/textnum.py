@@ -111,3 +111,49 @@ def weighted_shingles(piece: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
     s, d = shingles(h, doc, len(piece))
     key, count = np.unique((d.astype(np.uint64) << np.uint64(44)) | (s >> np.uint64(20)), return_counts=True)
     return (key >> np.uint64(44)).astype(np.int64), key & np.uint64((1 << 44) - 1), count
+
+
+class Letters:
+    """Per code point: is it a letter, an upper-case letter, a digit, white space; its
+    one-character lower case; a random value. Built once a worker."""
+
+    _one: Letters | None = None
+
+    def __init__(self):
+        chars = [chr(c) for c in range(0x110000)]
+        self.letter = np.array([c.isalpha() for c in chars])
+        self.upper = np.array([c.isupper() for c in chars])
+        self.digit = np.array([c.isdigit() for c in chars])
+        self.space = np.array([c.isspace() for c in chars])
+        lower = [c.lower() for c in chars]
+        self.lower = np.array([ord(x) if len(x) == 1 else i for i, x in enumerate(lower)], dtype=np.uint32)
+        self.value = mix((np.arange(0x110000, dtype=np.uint64) + np.uint64(1)) * _GOLDEN)
+
+    @classmethod
+    def get(cls) -> Letters:
+        if cls._one is None:
+            cls._one = cls()
+        return cls._one
+
+
+def code_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(code points of the texts, each followed by a line feed; where each begins, and
+    the end)."""
+    own = [t or "" for t in texts]
+    begins = np.cumsum([0] + [len(t) + 1 for t in own])
+    return np.frombuffer("".join(t + "\n" for t in own).encode("utf-32-le", "surrogatepass"), dtype="<u4"), begins
+
+
+def text_batches(texts: list[str | None], limit: int) -> Iterator[tuple[int, list[str]]]:
+    """(index of the first text, texts) in batches of about ``limit`` characters;
+    null is the empty text, a longer text is a batch of its own."""
+    start, size, batch = 0, 0, []
+    for i, t in enumerate(texts):
+        t = t or ""
+        if batch and size + len(t) > limit:
+            yield start, batch
+            start, size, batch = i, 0, []
+        batch.append(t)
+        size += len(t) + 1
+    if batch:
+        yield start, batch
