@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import chat, langid, neardup, packing, quality, tokenfile, topk
+from stratum.llm import chat, langid, neardup, packing, quality, tokenfile, topk, toxicity
 from stratum.llm.common import read_table, ship_package
 from stratum.scratch import scratch_path
 
@@ -45,6 +45,13 @@ def op5_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op6_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, ~langid.held_out(F.col("doc_id"), 3, 1))
+    scored = model.score(docs.select("doc_id", "text"), ["doc_id"])
+    return scored.select("doc_id", langid.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")
+
+
 def op7_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     vectors = topk.quantised(read_table(spark, sf_dir, "embeddings"))
@@ -62,8 +69,8 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_format, op3_token_blocks, op4_curve_packing, op5_cross_parsing, op7_block_topk, op8_quality_rules,
-    op9_near_duplicates)}
+    op1_chat_format, op3_token_blocks, op4_curve_packing, op5_cross_parsing, op6_toxicity_trees,
+    op7_block_topk, op8_quality_rules, op9_near_duplicates)}
 
 _CHAT_SQL = r"""
 WITH turns AS (
