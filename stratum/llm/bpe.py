@@ -29,6 +29,7 @@ _WS = "\t-\r \x85\xa0  -     　"
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
 _WORD_CHUNK = re.compile(f"[^{_WS}]+")
 _BYTE_CHUNK = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+CHUNK_END = re.compile(rb"[\x20\x09-\x0d]")
 
 
 def _byte_chars() -> str:
@@ -84,21 +85,83 @@ def _odd_spaces(buf: np.ndarray) -> np.ndarray:
             | ((buf == 0xE3) & (after == 0x80)))
 
 
-class Encoder:
-    """Ids as little-endian unsigned 16-bit bytes (the vocabulary is smaller)."""
+_LINE_KEY, _SPACED = np.uint64(0x5BD1E9955BD1E995), np.uint64(0xA24BAED4963EE407)
+
+
+def irregular(buf: np.ndarray, gap: np.ndarray) -> np.ndarray:
+    """Where white space is not one space or line feed between two words. Texts are
+    parted by 0x0B."""
+    space = (buf == 0x20) | (buf == 0x0A)
+    other = (buf >= 0x09) & (buf <= 0x0D) & ~space
+    other[gap] = False
+    edge = space | (buf == 0x0B)
+    return other | (space & (np.concatenate([edge[1:], [True]]) | np.concatenate([[True], edge[:-1]])))
+
+
+def words_and_lines(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(position, key) of words and line feeds; words after a space have keys of
+    their own."""
+    words = word_starts(buf)
+    keys = word_hashes(buf, words)
+    before = np.where(words > 0, buf[np.maximum(words - 1, 0)], 0)
+    keys = np.where(before == 0x20, keys ^ _SPACED, keys)
+    lines = np.flatnonzero(buf == 0x0A)
+    first = np.concatenate([words, lines])
+    order = np.argsort(first, kind="stable")
+    return first[order], np.concatenate([keys, np.full(len(lines), _LINE_KEY)])[order]
+
+
+class ChunkEncoder:
+    """Ids of whole texts from those of their distinct chunks."""
 
     GAP = b"\n"  # stands between texts in a buffer
 
+    def __init__(self):
+        self._store = _Store()
+
+    def batch(self, piece: list[bytes], salts: np.ndarray | None = None) -> list[bytes]:
+        """Ids of each text of ``piece`` (UTF-8 bytes). ``salts``: one key per text, if
+        chunks have other ids under other keys."""
+        if salts is None:
+            salts = np.zeros(len(piece), np.uint64)
+        begins = np.cumsum([0] + [len(b) + 1 for b in piece])
+        buf = np.frombuffer(self.GAP.join(piece) + self.GAP, dtype=np.uint8)
+        gap = begins[1:] - 1
+        odd = np.unique(np.searchsorted(begins, np.flatnonzero(self._odd(buf, begins, gap)), side="right") - 1)
+        if len(odd):
+            alone = {i: self.ids(piece[i].decode("utf-8", "surrogatepass"), int(salts[i])) for i in odd.tolist()}
+            rest = self.batch([b"" if i in alone else b for i, b in enumerate(piece)], salts)
+            return [alone.get(i, r) for i, r in enumerate(rest)]
+        first, keys = self._chunks(buf, gap)
+        if not len(first):
+            return [b""] * len(piece)
+        salt = salts[np.searchsorted(begins, first, side="right") - 1]
+        distinct, one, which = np.unique(keys ^ salt, return_index=True, return_inverse=True)
+        absent = self._store.missing(distinct)
+        if len(absent):
+            self._store.add(distinct[absent], self._ask_all(buf.tobytes(), first[one[absent]].tolist(), salt[one[absent]]))
+        at, n = self._store.take(distinct)
+        n_each = n[which]
+        ends = np.cumsum(n_each)
+        source = np.repeat(at[which] - (ends - n_each), n_each) + np.arange(ends[-1])
+        ids = self._store.pool[source].tobytes()
+        cut = np.concatenate([[0], ends])[np.searchsorted(first, begins)] * ID_TYPE.itemsize
+        return [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
+
+
+class Encoder(ChunkEncoder):
+    """Ids as little-endian unsigned 16-bit bytes (the vocabulary is smaller)."""
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         if self.library.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary do not fit 16 bits")
         self._merge = self.library.model.tokenize
         self._marks: dict[str, bytes] = {"": b""}
-        self._store = _Store()
 
     def _pack(self, ids) -> bytes:
         return np.array(ids, dtype=ID_TYPE).tobytes()
@@ -120,35 +183,11 @@ class Encoder:
     def _whole(self, chunk: str) -> bytes:
         return self._pack(self.library.encode(chunk, add_special_tokens=False).ids)
 
-    def batch(self, piece: list[bytes]) -> list[bytes]:
-        """Ids of each text of ``piece`` (UTF-8 bytes)."""
-        begins = np.cumsum([0] + [len(b) + 1 for b in piece])
-        buf = np.frombuffer(self.GAP.join(piece) + self.GAP, dtype=np.uint8)
-        gap = begins[1:] - 1
-        odd = np.unique(np.searchsorted(begins, np.flatnonzero(self._odd(buf, begins, gap)), side="right") - 1)
-        if len(odd):
-            alone = {i: self.ids(piece[i].decode("utf-8", "surrogatepass")) for i in odd.tolist()}
-            rest = self.batch([b"" if i in alone else b for i, b in enumerate(piece)])
-            return [alone.get(i, r) for i, r in enumerate(rest)]
-        first, keys = self._chunks(buf, gap)
-        if not len(first):
-            return [b""] * len(piece)
-        distinct, one, which = np.unique(keys, return_index=True, return_inverse=True)
-        absent = self._store.missing(distinct)
-        if len(absent):
-            raw = buf.tobytes()
-            self._store.add(distinct[absent], [self._ask_at(raw, int(first[i])) for i in one[absent]])
-        at, n = self._store.take(distinct)
-        n_each = n[which]
-        ends = np.cumsum(n_each)
-        source = np.repeat(at[which] - (ends - n_each), n_each) + np.arange(ends[-1])
-        ids = self._store.pool[source].tobytes()
-        cut = np.concatenate([[0], ends])[np.searchsorted(first, begins)] * ID_TYPE.itemsize
-        return [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
+    def _ask_all(self, raw: bytes, starts: list[int], salts: np.ndarray) -> list[bytes]:
+        return [self._ask_at(raw, at) for at in starts]
 
 
 _ALPHABET_MAP = {b: c for b, c in enumerate(_ALPHABET)}
-_CHUNK_END = re.compile(rb"[\x20\x09-\x0d]")
 
 
 class WordEncoder(Encoder):
@@ -168,9 +207,9 @@ class WordEncoder(Encoder):
         return first, word_hashes(buf, first)
 
     def _ask_at(self, raw: bytes, at: int) -> bytes:
-        return self._ask(raw[at:_CHUNK_END.search(raw, at).start()].decode("utf-8", "surrogatepass"))
+        return self._ask(raw[at:CHUNK_END.search(raw, at).start()].decode("utf-8", "surrogatepass"))
 
-    def ids(self, text: str) -> bytes:
+    def ids(self, text: str, salt: int = 0) -> bytes:
         return b"".join(map(self._ask, _WORD_CHUNK.findall(text)))
 
 
@@ -179,7 +218,6 @@ class ByteEncoder(Encoder):
     texts have single spaces and line feeds between words and none at the ends."""
 
     GAP = b"\x0b"
-    _LINE_KEY, _SPACED = np.uint64(0x5BD1E9955BD1E995), np.uint64(0xA24BAED4963EE407)
 
     def _ask(self, space: str, chunk: str) -> bytes:
         plain = _PLAIN.fullmatch(chunk)
@@ -188,29 +226,18 @@ class ByteEncoder(Encoder):
         return self._of_letters(space + plain[1]) + self._closing(plain[2])
 
     def _odd(self, buf: np.ndarray, begins: np.ndarray, gap: np.ndarray) -> np.ndarray:
-        space = (buf == 0x20) | (buf == 0x0A)
-        other = (buf >= 0x09) & (buf <= 0x0D) & ~space
-        other[gap] = False
-        edge = space | (buf == 0x0B)
-        return other | _odd_spaces(buf) | (space & (np.concatenate([edge[1:], [True]]) | np.concatenate([[True], edge[:-1]])))
+        return irregular(buf, gap) | _odd_spaces(buf)
 
     def _chunks(self, buf: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        words = word_starts(buf)
-        keys = word_hashes(buf, words)
-        before = np.where(words > 0, buf[np.maximum(words - 1, 0)], 0)
-        keys = np.where(before == 0x20, keys ^ self._SPACED, keys)
-        lines = np.flatnonzero(buf == 0x0A)
-        first = np.concatenate([words, lines])
-        order = np.argsort(first, kind="stable")
-        return first[order], np.concatenate([keys, np.full(len(lines), self._LINE_KEY)])[order]
+        return words_and_lines(buf)
 
     def _ask_at(self, raw: bytes, at: int) -> bytes:
         if raw[at] == 0x0A:
             return self._whole("\n")
-        chunk = raw[at:_CHUNK_END.search(raw, at).start()].decode("utf-8", "surrogatepass")
+        chunk = raw[at:CHUNK_END.search(raw, at).start()].decode("utf-8", "surrogatepass")
         return self._ask(" " if at and raw[at - 1] == 0x20 else "", chunk)
 
-    def ids(self, text: str) -> bytes:
+    def ids(self, text: str, salt: int = 0) -> bytes:
         return b"".join([self._ask(" ", c[1:]) if c[0] == " " and len(c) > 1 and not c.isspace() else self._whole(c)
                          for c in _BYTE_CHUNK.findall(text)])
 

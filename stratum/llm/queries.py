@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import chat, langid, neardup, packing, quality, tokenfile, topk, toxicity
+from stratum.llm import chat, langid, neardup, packing, pii, quality, spbpe, tokenfile, topk, toxicity
 from stratum.llm.common import read_table, ship_package
 from stratum.scratch import scratch_path
 
@@ -22,20 +22,29 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows.unionByName(probe)))
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+def op2_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its ids under dropout, and whether decoding returns the source."""
+    path = vocabulary("piece_bpe_32k.model")
+    back = spbpe.decode(spbpe.encode(read_table(spark, sf_dir, "documents"), path), path)
+    return back.select(
+        "doc_id", "n_tokens", "ids_crc32", F.length("text").cast("long").alias("n_chars"),
+        (F.crc32(F.col("text").cast("binary")) == F.col("text_crc32")).alias("lossless"))
+
+
 def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-blocks")
-    tokenfile.write_blocks(read_table(spark, sf_dir, "documents"), path, _vocabulary("word_bpe_49k.json"), end_id=1)
+    tokenfile.write_blocks(read_table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), end_id=1)
     return tokenfile.read_blocks(spark, path)
 
 
 def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), end_id=0)
+    return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
 
 
 def op5_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,9 +77,17 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "is_kept")
 
 
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its text with surrogates, and how many entities of each kind."""
+    done = pii.replace_all(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.col(f"__{k}").alias(f"n_{k}") for k in pii.COUNTED]
+    total = sum((F.col(f"__{k}") for k in pii.COUNTED), F.lit(0)).alias("n_entities")
+    return done.select("doc_id", "text", total, *counts)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_chat_format, op3_token_blocks, op4_curve_packing, op5_cross_parsing, op6_toxicity_trees,
-    op7_block_topk, op8_quality_rules, op9_near_duplicates)}
+    op1_chat_format, op2_merge_dropout, op3_token_blocks, op4_curve_packing, op5_cross_parsing, op6_toxicity_trees,
+    op7_block_topk, op8_quality_rules, op9_near_duplicates, op10_surrogates)}
 
 _CHAT_SQL = r"""
 WITH turns AS (
