@@ -15,8 +15,9 @@ and the next arrivals come later than all of them.
 4. A bucket that still holds several components takes another hub; after
    STAR_ROUNDS the members that are left are compared through their signatures
    in blocks, and what the estimate does not rule out (five standard deviations
-   below 0.8) is verified too. So every pair that shares a bucket is either
-   verified, ruled out by its estimate in a block, or already in one component.
+   below 0.8) is verified there, so that only links leave a block. So every pair
+   that shares a bucket is either verified, ruled out by its estimate, or already
+   in one component.
 
 With 24 bands of 4 a pair of similarity 0.8 shares no bucket once in 300,000.
 
@@ -119,27 +120,67 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if k not in slot:
                     slot[k] = len(texts)
                     texts.append(x)
-        sets: list[tuple[np.ndarray, np.ndarray]] = []
-        for _, piece in chunks(texts):
-            doc, h, w = weighted_shingles(piece)
-            cut = np.searchsorted(doc, np.arange(len(piece) + 1))
-            sets += [(h[s:e], w[s:e].astype(np.float64)) for s, e in zip(cut[:-1], cut[1:])]
+        sets = _weighted(texts)
         linked = [max(similarity(sets[slot[a]], sets[slot[b]])) >= SIMILARITY - 1e-9 for a, b in zip(f["a"], f["b"])]
         yield f.loc[linked, ["a", "b"]].rename(columns={"a": "u", "b": "v"})
 
 
+def _candidates(left: pd.DataFrame, right: pd.DataFrame, band: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row of ``left``, rows of ``right``) that the estimate leaves in: of different
+    components, and sharing no band before this one, where they are compared too."""
+    sr = np.stack([np.frombuffer(x, np.uint32) for x in right["sig"]])
+    names = {label: k for k, label in enumerate({*left["label"], *right["label"]})}
+    rl = np.array([names[x] for x in right["label"]])
+    for i, (label, sig) in enumerate(zip(left["label"], left["sig"])):
+        agree = sr == np.frombuffer(sig, np.uint32)
+        near = (agree.mean(axis=1) >= RULED_OUT) & (rl != names[label])
+        near[near] = agree[near].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+        if near.any():
+            yield i, np.flatnonzero(near)
+
+
+def _weighted(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(sorted shingle hashes, occurrences) of each text."""
+    sets = []
+    for _, piece in chunks(texts):
+        doc, h, w = weighted_shingles(piece)
+        cut = np.searchsorted(doc, np.arange(len(piece) + 1))
+        sets += [(h[s:e], w[s:e].astype(np.float64)) for s, e in zip(cut[:-1], cut[1:])]
+    return sets
+
+
 def _compare_blocks(f: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one cell (two blocks of one bucket) that the estimate leaves in."""
+    """Links of one cell (two blocks of one bucket).
+
+    Candidates are verified here. J_P is at most the overlap of the two
+    distributions and equals plain Jaccard where no shingle repeats, so J_P itself is
+    worked out only for repeating shingles and an overlap of 0.8."""
     left, right = f[f["side"] != 1], f[f["side"] != 0]
     out: list[tuple[bytes, bytes]] = []
     if len(left) and len(right):
-        sr = np.stack([np.frombuffer(s, np.uint32) for s in right["sig"]])
-        rt, rl = right["tid"].tolist(), right["label"].to_numpy()
-        for tid, label, s in zip(left["tid"], left["label"], left["sig"]):
-            agree = (sr == np.frombuffer(s, np.uint32)).mean(axis=1)
-            for j in np.flatnonzero((agree >= RULED_OUT) & (rl != label)):
-                out.append((min(tid, rt[j]), max(tid, rt[j])))
-    return pd.DataFrame(out, columns=["a", "b"]).drop_duplicates()
+        ls, rs = _weighted(left["text"].tolist()), _weighted(right["text"].tolist())
+        known, which = np.unique(np.concatenate([h for h, _ in rs]), return_inverse=True)
+        parts = np.split(which, np.cumsum([len(h) for h, _ in rs])[:-1])
+        share = [w / w.sum() for _, w in rs]
+        repeats = np.array([w.max() > 1 for _, w in rs])
+        lt, rt = left["tid"].tolist(), right["tid"].tolist()
+        held = np.zeros(len(known))
+        for i, near in _candidates(left, right, int(f["band"].iat[0])):
+            h, w = ls[i]
+            slot = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            own = known[slot] == h
+            held[:] = 0
+            held[slot[own]] = w[own] / w.sum()
+            size = np.array([len(parts[j]) for j in near])
+            begin = np.cumsum(size) - size
+            theirs = held[np.concatenate([parts[j] for j in near])]
+            overlap = np.add.reduceat(np.minimum(theirs, np.concatenate([share[j] for j in near])), begin)
+            common = np.add.reduceat((theirs > 0).astype(np.int64), begin)
+            linked = common / (len(h) + size - common) >= SIMILARITY - 1e-9
+            for k in np.flatnonzero(~linked & (overlap >= SIMILARITY - 1e-9) & (repeats[near] | (w.max() > 1))):
+                linked[k] = similarity(ls[i], rs[near[k]])[0] >= SIMILARITY - 1e-9
+            out += [(lt[i], rt[j]) for j in near[linked]]
+    return pd.DataFrame(out, columns=["u", "v"])
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -160,13 +201,13 @@ def classes(documents: DataFrame) -> DataFrame:
     owners = materialise(signed.groupBy("tid").agg(
         F.min("doc_id").alias("owner"), F.count(F.lit(1)).alias("copies"), F.min("sig").alias("sig")), "nd-own")
 
-    bands = owners.where(F.col("sig").isNotNull()).select("tid", F.explode(F.transform(
+    bands = owners.where(F.col("sig").isNotNull()).select("tid", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda b: F.xxhash64(b, F.substring(F.col("sig"), b * (4 * ROWS) + 1, F.lit(4 * ROWS))))).alias("bucket"))
+        lambda b: F.xxhash64(b, F.substring(F.col("sig"), b * (4 * ROWS) + 1, F.lit(4 * ROWS))))).alias("band", "bucket"))
     shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     members = materialise(bands.join(shared, "bucket"), "nd-mem")
     weight = members.groupBy("tid").agg(F.sum("n").alias("weight"))
-    members = materialise(members.join(weight, "tid").select("tid", "bucket", "weight"), "nd-hub")
+    members = materialise(members.join(weight, "tid").select("tid", "band", "bucket", "weight"), "nd-hub")
 
     wanted = weight.select("tid").join(owners.select("tid", "owner"), "tid")
     same = docs["tid"].eqNullSafe(wanted["tid"]) & docs["doc_id"].eqNullSafe(wanted["owner"])
@@ -184,13 +225,13 @@ def classes(documents: DataFrame) -> DataFrame:
             hubs = members.groupBy("bucket").agg(F.max(F.struct("weight", "tid", *label)).alias("hub")).select(
                 F.col("bucket").alias("hb"), F.col("hub.tid").alias("hub"), *[F.col(f"hub.{x}").alias("hl") for x in label])
             met = members.join(hubs, F.col("bucket") == F.col("hb")).where(F.col("tid") != F.col("hub"))
-            pairs = (met.where(F.col("label") != F.col("hl")) if turn else met).select(
-                F.least("tid", "hub").alias("a"), F.greatest("tid", "hub").alias("b")).distinct()
+            found = _links((met.where(F.col("label") != F.col("hl")) if turn else met).select(
+                F.least("tid", "hub").alias("a"), F.greatest("tid", "hub").alias("b")).distinct(), texts)
             members = materialise(members.join(hubs, F.col("bucket") == F.col("hb"), "left").where(
-                F.col("tid") != F.col("hub")).select("tid", "bucket", "weight"), "nd-left")
+                F.col("tid") != F.col("hub")).select("tid", "band", "bucket", "weight"), "nd-left")
         else:
-            pairs = _left_over(members, owners).distinct()
-        links = materialise(links.unionAll(_links(pairs, texts)), "nd-links")
+            found = _left_over(members, owners, texts)
+        links = materialise(links.unionAll(found), "nd-links")
         labels = components(links)
 
     by_text = owners.join(labels, owners["tid"] == labels["node"], "left").select(
@@ -207,21 +248,21 @@ def classes(documents: DataFrame) -> DataFrame:
 def _unsettled(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     """Members of buckets that still hold several components, with their label."""
     m = members.join(labels, members["tid"] == labels["node"], "left").select(
-        "tid", "bucket", "weight", F.coalesce("label", "tid").alias("label"))
+        "tid", "band", "bucket", "weight", F.coalesce("label", "tid").alias("label"))
     split = m.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where(
         F.col("lo") != F.col("hi")).select("bucket")
     return materialise(m.join(split, "bucket", "leftsemi"), f"nd-open{turn}")
 
 
-def _left_over(members: DataFrame, owners: DataFrame) -> DataFrame:
-    """Pairs of what is left, from blocks of at most about BLOCK members."""
+def _left_over(members: DataFrame, owners: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links of what is left, from blocks of about BLOCK members at most."""
     n = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    m = members.join(n, "bucket").join(owners.select("tid", "sig"), "tid")
+    m = members.join(n, "bucket").join(owners.select("tid", "sig"), "tid").join(texts, "tid")
     own = m.withColumn("own", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int"))
     cells = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "tid", "label", "sig",
+        "bucket", "band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "tid", "label", "sig", "text",
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
-    return cells.groupBy("bucket", "x", "y").applyInPandas(_compare_blocks, "a binary, b binary")
+    return cells.groupBy("bucket", "x", "y").applyInPandas(_compare_blocks, "u binary, v binary")
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
