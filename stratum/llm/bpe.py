@@ -5,7 +5,7 @@ at white space, where no token can span, and the ids of every distinct chunk com
 from the library and are kept by a worker under the chunk's 64-bit hash. Chunks of
 letters and closing marks go straight to the library's merge model, others through
 its whole pipeline. Texts with irregular white space are cut one by one, the rest
-a few megabytes at a time. The ids equal those of the whole text (tests compare
+a megabyte at a time. The ids equal those of the whole text (tests compare
 them).
 """
 
@@ -21,8 +21,8 @@ from stratum.llm.textnum import word_hashes, word_starts
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 ID_TYPE = np.dtype("<u2")
-MOST_KEPT = 2_000_000  # chunks a worker keeps (about 30 bytes each); then it starts anew
-PIECE_BYTES = 4 << 20
+MOST_KEPT = 1_500_000  # chunks a worker keeps (about 30 bytes each); then it starts anew
+PIECE_BYTES = 1 << 20
 
 # White_Space characters of Unicode, as the library's \s.
 _WS = "\t-\r \x85\xa0  -     　"

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratum.scratch import scratch_path
 
+ARROW_ROWS = 1_000  # texts a Python worker is handed at once; the longest set its memory
 _SHIPPED: set[str] = set()
 
 
@@ -22,8 +23,12 @@ def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers, once per application.
 
     Workers do not see the driver's ``sys.path``; the package goes out as a zip
-    through ``addPyFile``, as ``--py-files`` would do.
+    through ``addPyFile``, as ``--py-files`` would do. The session's Arrow batches are
+    brought down to ARROW_ROWS rows if they are larger.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, str(ARROW_ROWS))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

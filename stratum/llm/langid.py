@@ -34,9 +34,9 @@ from stratum.llm.common import ship_package
 from stratum.llm.textnum import Letters, code_points, text_batches
 
 UNKNOWN = "und"
-MOST_DOCS, CHARS, MOST_CHARS = 400, 40_000, 400_000
+MOST_DOCS, CHARS, MOST_CHARS = 400, 30_000, 300_000
 SYMBOLS = 64  # of an automaton: space, letters, and one for all rarer letters
-LANE, BATCH_CHARS = 256, 4 << 20
+LANE, BATCH_CHARS = 256, 3 << 19
 SHARPNESS = 8
 
 

@@ -54,7 +54,7 @@ SYLLABLES = {"latin": "ba be bi bo da de di do ka ke ko la le li lo ma me mi mo
 _NAME = r"[^\W\d_a-zß-öø-ÿа-яё][^\W\d_]+(?:-[^\W\d_]+)?"
 _PATTERN = re.compile(
     r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-]))"
-    r"|(?P<aws>(?<![A-Za-z0-9])(?i:AKIA)[A-Za-z0-9]{16}(?![A-Za-z0-9]))"
+    r"|(?P<aws>(?<![A-Za-z0-9])(?:AKIA|akia)[A-Za-z0-9]{16}(?![A-Za-z0-9]))"
     r"|(?P<keyed>(?<![A-Za-z0-9])(?i:password|passwd|pwd|token|secret|api_?key)\s?[=:]\s?[\"']?(?P<secret>[A-Za-z0-9_\-]{8,128})(?![A-Za-z0-9_\-]))"
     r"|(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
@@ -64,8 +64,15 @@ _PATTERN = re.compile(
     r"|(?P<title>(?<!\w)(?:" + "|".join(HONORIFICS["m"] + HONORIFICS["f"]) + r")\.? )(?P<names>" + _NAME + "(?: " + _NAME + ")?)"
 )
 _GENDER = {h: g for g, own in HONORIFICS.items() for h in own}
-#: What a text must hold to have any entity: a cheap test before the full pattern.
-HINT = r"[0-9@]|(?i:akia|password|passwd|pwd|token|secret|api_?key)|(?:" + "|".join(HONORIFICS["m"] + HONORIFICS["f"]) + r")\.? "
+# What a text must hold to have any entity, for a cheap test before the full pattern.
+_HINTS = ("=", ":", "AKIA", "akia", "Mr", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Señor", "Sr", "господин", "г-н", "госпожа", "г-жа")
+
+
+def hinted(text: Column) -> Column:
+    found = text.rlike("[0-9@]")
+    for hint in _HINTS:
+        found = found | F.contains(text, F.lit(hint))
+    return F.coalesce(found, F.lit(False))
 
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
@@ -241,17 +248,17 @@ def replace_all(documents: DataFrame, key: str = KEY) -> DataFrame:
     columns = documents.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
     counts = ", ".join(f"`__{k}` int" for k in COUNTED)
-    hinted = F.col("text").isNotNull() & F.col("text").rlike(HINT)
-    found = materialise(documents.where(hinted).select(_text_key(F.col("text")).alias("tid"), "text").mapInPandas(
+    may = hinted(F.col("text"))
+    found = materialise(documents.where(may).select(_text_key(F.col("text")).alias("tid"), "text").mapInPandas(
         _found, "tid binary, kind string, value string"), "pii-found")
     table = surrogate_table(found, key)
     pairs = found.distinct().join(table, ["kind", "value"])
     maps = materialise(pairs.groupBy("tid").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("__map")), "pii-maps")
     held = maps.withColumnRenamed("tid", "__tid")
-    with_map = documents.where(hinted).join(held, _text_key(F.col("text")) == F.col("__tid"), "left").select(
+    with_map = documents.where(may).join(held, _text_key(F.col("text")) == F.col("__tid"), "left").select(
         *columns, F.coalesce("__map", F.expr("cast(array() as array<struct<kind:string,value:string,surrogate:string>>)")).alias("__map"))
     changed = with_map.mapInPandas(_replaced(columns), f"{fields}, {counts}")
-    plain = documents.where(~hinted | F.col("text").isNull()).select(*columns, *[F.lit(0).alias(f"__{k}") for k in COUNTED])
+    plain = documents.where(~may).select(*columns, *[F.lit(0).alias(f"__{k}") for k in COUNTED])
     out = changed.unionAll(plain)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(

@@ -120,13 +120,17 @@ class Letters:
     _one: Letters | None = None
 
     def __init__(self):
-        chars = [chr(c) for c in range(0x110000)]
-        self.letter = np.array([c.isalpha() for c in chars])
-        self.upper = np.array([c.isupper() for c in chars])
-        self.digit = np.array([c.isdigit() for c in chars])
-        self.space = np.array([c.isspace() for c in chars])
-        lower = [c.lower() for c in chars]
-        self.lower = np.array([ord(x) if len(x) == 1 else i for i, x in enumerate(lower)], dtype=np.uint32)
+        n, step = 0x110000, 1 << 12
+        self.letter, self.upper, self.digit, self.space = (np.zeros(n, dtype=bool) for _ in range(4))
+        self.lower = np.arange(n, dtype=np.uint32)
+        for at in range(0, n, step):
+            chars = [chr(c) for c in range(at, at + step)]
+            here = slice(at, at + step)
+            self.letter[here] = [c.isalpha() for c in chars]
+            self.upper[here] = [c.isupper() for c in chars]
+            self.digit[here] = [c.isdigit() for c in chars]
+            self.space[here] = [c.isspace() for c in chars]
+            self.lower[here] = [ord(x) if len(x := c.lower()) == 1 else ord(c) for c in chars]
         self.value = mix((np.arange(0x110000, dtype=np.uint64) + np.uint64(1)) * _GOLDEN)
 
     @classmethod

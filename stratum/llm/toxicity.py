@@ -38,7 +38,7 @@ MOST_TERMS = 400  # learned words, and learned beginnings
 LEAST_TEXTS, LEAST_SHARE, LEAST_RATIO = 3, 0.005, 20.0  # of a learned term, among toxic texts
 PREFIXES = (4, 5, 6)
 NEAR = 5
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 19
 REJECT = 0.7
 FEATURES = ("log_words", "word_density", "log_word_hits", "prefix_density", "log_prefix_hits", "distinct_hits",
             "near_you", "capitals", "punctuation", "exclaims", "obfuscated", "doubled", "word_length")
