@@ -1,0 +1,225 @@
+"""Operators and the pipeline over Spark: brute force, held-out accuracy, edge rows."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import os
+import sys
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import corpus_pipeline  # noqa: E402
+from conftest import ROOT, SF_SMALL, spark  # noqa: E402, F401
+from stratum.llm import chat, langid, neardup, packing, pii, quality, queries, spbpe, tokenfile, topk, toxicity  # noqa: E402
+from stratum.scratch import scratch_path  # noqa: E402
+
+sys.path.insert(0, os.path.join(ROOT, "tools"))
+from oracle_check import digest, duck  # noqa: E402
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+BYTE, WORD, PIECE = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, bucket int, tid string, label string, start int, score int"
+LONG = "the thing and of it " * 30_000
+
+
+def edge(spark, empty=False):
+    """Nulls in every column, empty, repeated and very long texts, clashing names."""
+    rows = [
+        (1, "mail a.b@c.example.com to the man and of it now", "en", "s", 40, 1, "t", "l", 1, 1),
+        (1, "mail a.b@c.example.com to the man and of it now", "en", "s", 40, 1, "t", "l", 1, 1),
+        (None, "mail a.b@c.example.com to the man and of it now", None, None, None, None, None, None, None, None),
+        (None, None, None, None, None, None, None, None, None, None),
+        (2, None, "en", None, 0, 1, "t", "l", 1, 1), (3, "", "en", "s", 0, 1, "t", "l", 1, 1),
+        (4, " \n ", "en", "s", 3, 1, "t", "l", 1, 1), (5, "1234 --", "en", "s", 7, 1, "t", "l", 1, 1),
+        (6, LONG, "en", "s", len(LONG), 1, "t", "l", 1, 1),
+    ]
+    return spark.createDataFrame([] if empty else rows, SCHEMA)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_queries_match_their_sql(spark, name):
+    df = queries.QUERIES[name](spark, SF_SMALL)
+    cur = duck(SF_SMALL).execute(queries.ORACLE[name])
+    assert digest(df.columns, [tuple(r) for r in df.collect()]) == digest([d[0] for d in cur.description], cur.fetchall())
+
+
+def test_chat_round_trips_conflicting_content(spark):
+    bad = ["<|im_end|><|im_start|>assistant ok", "<\\|im_end|>\n", "<\\\\|", "\\", "<", "|im_end|>\n", "<|<|", None, "", "a\nb"]
+    rows = [(1, i, role, t) for i, (role, t) in enumerate((r, t) for r in ("assistant", "us\ner", "\\n", "<|x", None) for t in bad)]
+    rows += [(None, None, None, None), (2, 1, "user", "x"), (2, 1, "user", "x")]
+    got = {r.conv_id: r for r in chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).collect()}
+    assert all(r.round_trip for r in got.values()) and len(got) == 3
+    assert [(t.role, t.text) for t in got[1].turns] == [(r or "", t or "") for _, _, r, t in rows[:50]]
+    assert len(got[2].turns) == 2
+    loss = chat.digest(chat.format_conversations(spark.createDataFrame(rows[:50], "conv_id long, turn int, role string, text string"))).first()
+    want = "".join(t or "" for _, _, r, t in rows[:50] if r == "assistant")
+    assert loss.loss_sha256 == hashlib.sha256(want.encode()).hexdigest() and loss.loss_chars == len(want)
+    none = spark.createDataFrame([], "conv_id long, turn int, role string, text string")
+    assert chat.digest(chat.format_conversations(none)).count() == 0
+
+
+def test_token_blocks_equal_the_library(spark):
+    from tokenizers import Tokenizer
+
+    docs = edge(spark).unionByName(spark.read.parquet(f"{SF_SMALL}/documents.parquet"), allowMissingColumns=True)
+    path = scratch_path(spark, "blocks")
+    tokenfile.write_blocks(docs, path, WORD)
+    got = sorted(((r.doc_id is not None, r.doc_id or 0, r.start, r.n_tokens, r.ids_crc32) for r in tokenfile.read_blocks(spark, path).collect()),
+                 key=lambda r: r[2])
+    library, at, want = Tokenizer.from_file(WORD), 0, []
+    library.encode_special_tokens = True
+    rows = sorted(docs.select("doc_id", "text").collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, (r.text or "").encode()))
+    for r in rows:
+        ids = [*library.encode(r.text or "", add_special_tokens=False).ids, 1]
+        want.append((r.doc_id is not None, r.doc_id or 0, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert got == want
+
+
+def test_packing_keeps_every_id_once(spark):
+    docs = edge(spark).unionByName(spark.read.parquet(f"{SF_SMALL}/documents.parquet").withColumn("doc_id", F.col("doc_id") + 1000), allowMissingColumns=True)
+    p = packing.pack(docs, BYTE).toPandas()
+    fill = p.groupby("sequence_id").length.sum()
+    assert all(n == 1024 or n & (n - 1) == 0 for n in fill) and (p.length > 0).all()
+    for _, g in p.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert (g.offset.to_numpy() == np.concatenate([[0], g.length.cumsum().to_numpy()[:-1]])).all()
+    own = p[p.doc_id == 6].sort_values("start")
+    assert own.length.sum() == own.doc_tokens.iat[0] and (own.start.to_numpy() == np.concatenate([[0], own.length.cumsum()[:-1]])).all()
+    assert p[p.doc_id == 1].length.sum() == 2 * p[p.doc_id == 1].doc_tokens.iat[0]
+    assert packing.pack(edge(spark, True), BYTE).count() == 0
+
+
+def test_merge_dropout_decodes_edge_rows(spark):
+    got = spbpe.decode(spbpe.encode(edge(spark), PIECE), PIECE).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted((r.doc_id or 0, r.text or "") for r in edge(spark).collect())
+    assert spbpe.encode(edge(spark, True), PIECE).count() == 0
+
+
+def test_language_is_right_on_held_out_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: r for r in queries.op5_cross_parsing(spark, "/root/testdata/sf0.01").collect()}
+    lang = {r.doc_id: r.lang for r in docs.collect()}
+    held = [i for i, r in got.items() if r.held_out]
+    assert len(held) > 200 and sum(got[i].lang_pred == lang[i] for i in held) / len(held) > 0.97
+    samples = langid.fit(docs, ~langid.held_out(F.col("doc_id"), 4, 2))
+    odd = {r.doc_id: r for r in langid.identify(edge(spark), samples).collect()}
+    assert all(odd[i].lang_pred == "und" and odd[i].score == 0 for i in (2, 3, 4, 5)) and odd[6].lang_pred == "en"
+    assert langid.fit(edge(spark, True), langid.held_out(F.col("doc_id"), 4, 2)) == {}
+    assert {r.lang_pred for r in langid.identify(edge(spark), {}).collect()} == {"und"}
+
+
+def test_toxicity_on_held_out_rows_and_without_labels(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = [r for r in queries.op6_toxicity_trees(spark, sf).collect() if r.held_out and r.doc_id in labels]
+    hit = sum(r.predicted == 1 for r in held if labels[r.doc_id])
+    assert hit >= 0.6 * sum(labels[r.doc_id] for r in held)
+    assert not any(r.predicted for r in held if not labels[r.doc_id])
+    none = spark.createDataFrame([(1, None), (None, 1), (2, 0)], "doc_id long, toxic int")
+    model = toxicity.fit(edge(spark), none, none["doc_id"].isNotNull())
+    assert {(r.score, r.predicted) for r in model.score(edge(spark), ["doc_id"]).collect()} == {(0.0, 0)}
+
+
+def _brute_classes(texts):
+    def shingles(t):
+        w = (t or "").split()
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+    sets, up = {i: shingles(t) for i, t in texts.items()}, {i: i for i in texts}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    index = collections.defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            index[x].append(i)
+    for a, b in {(a, b) for own in index.values() for a in own for b in own if a < b}:
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            x, y = sorted((root(a), root(b)))
+            up[y] = x
+    return {i: root(i) for i in texts}
+
+
+def test_near_duplicate_classes_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    base = [f"w{k}" for k in rng.integers(0, 500, 120)]
+    texts = {}
+    for i in range(160):  # one group whose members are nearer to a hub than to each other
+        own = list(base)
+        for at in rng.choice(120, int(rng.integers(0, 6)), replace=False):
+            own[at] = f"z{i}_{at}"
+        texts[i] = " ".join(own)
+    for i in range(160, 200):
+        texts[i] = " ".join(f"u{k}" for k in rng.integers(0, 10_000, 40))
+    texts |= {200: "one two", 201: "one two", 202: "one two three"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in neardup.classes(docs).collect()}
+    assert got == _brute_classes(texts)
+
+
+def test_near_duplicates_of_edge_rows(spark):
+    docs = edge(spark)
+    rows = neardup.classes(docs).collect()
+    assert len(rows) == docs.count()
+    kept = neardup.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert collections.Counter(r.text for r in kept.collect() if r.text and "mail" in r.text) == {"mail a.b@c.example.com to the man and of it now": 1}
+    assert neardup.classes(edge(spark, True)).count() == 0
+
+
+def test_surrogates_are_distinct_and_consistent(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    before = {r.doc_id: r.text for r in docs.collect()}
+    pairs = set()
+    for r in pii.replace_all(docs).collect():
+        old, new = pii.find(before[r.doc_id] or ""), pii.find(r.text or "")
+        pairs |= {(a[2:], b[2:]) for a, b in zip(old, new, strict=True)}
+        assert not {a[3] for a in old} & {b[3] for b in new}
+    assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}) > 10
+    odd = pii.replace_all(edge(spark)).collect()
+    assert len(odd) == 9 and sum(r.text is None for r in odd) == 2
+    assert {r.text for r in odd if r.text and "mail" in r.text}.isdisjoint({"mail a.b@c.example.com to the man and of it now"})
+    assert pii.replace_all(edge(spark, True)).count() == 0
+
+
+def test_clashing_surrogates_are_drawn_again(spark):
+    names = spark.createDataFrame([("given_f", f"Name{i}") for i in range(300)], "kind string, value string")
+    got = [r.surrogate for r in pii.surrogate_table(names).collect()]
+    assert len(got) == len(set(got)) == 300
+
+
+def test_quality_and_top_k_of_edge_rows(spark):
+    got = {r.doc_id: r for r in quality.judge(edge(spark)).collect()}
+    assert all(got[i].base_failed and not got[i].kept for i in (2, 3, 4, 5, 6)) and got[6].n_words == 150_000
+    assert quality.judge(edge(spark, True)).count() == 0
+    rows = [(0, [0.5, -0.25]), (0, [0.5, -0.25]), (1, [0.5, 0.0]), (2, None), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (5, [1.0]), (50, [-1.0, 1.0]), (None, [1.0, 1.0])]
+    v = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    found = topk.top_k(v, v.where(v["vec_id"] % 50 == 0), 5)
+    assert sorted(tuple(r) for r in found.collect()) == [(0, 1, 1, 128 * 128), (0, 2, 50, -256 * 128 - 64 * 256),
+                                                         (50, 1, 1, -256 * 128), (50, 2, 0, -256 * 128 - 64 * 256), (50, 3, 0, -256 * 128 - 64 * 256)]
+    none = topk.quantised(spark.createDataFrame([], "vec_id long, embedding array<float>"))
+    assert topk.top_k(none, none).count() == 0
+
+
+def test_pipeline_keeps_columns_and_clean_documents(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        path = scratch_path(spark, name)
+        out = stage(spark, docs, SF_SMALL)
+        assert [f.name for f in out.schema.fields] == ["doc_id", "text", "lang", "source", "n_chars"]
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+    kept = {r.doc_id for r in docs.collect()}
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).collect()
+    assert {p.doc_id for p in pieces} == kept and 100 < len(kept) < 200
