@@ -409,11 +409,13 @@ def parse_money_18(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "parse_int",
-    f"{q.dep_ctes()} SELECT customer_id, TRY_CAST(customer_id AS INTEGER) AS CUSTOMER_ID FROM dep",
+    f"{q.dep_ctes()} SELECT customer_id AS customer_text, TRY_CAST(customer_id AS INTEGER) AS customer_id FROM dep",
 )
 def parse_int_q(spark: SparkSession, sf: str) -> DataFrame:
     """FN-5."""
-    return deposits_from_orders(spark, sf).select("customer_id", parse_int("customer_id").alias("CUSTOMER_ID"))
+    return deposits_from_orders(spark, sf).select(
+        F.col("customer_id").alias("customer_text"), parse_int("customer_id").alias("customer_id")
+    )
 
 
 # ---------------------------------------------------------------- projections
@@ -477,7 +479,6 @@ def overwrite_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     for part in _batches(deposits_from_orders(spark, sf)):
         overwrite_table(
             project_to(clean_deposits(part), SILVER_8), name, partition_by="deposit_date", path=path,
-            max_rows=part.count(),
         )
     return read_table(spark, name).select(*[t for _, _, t in SILVER_8])
 
@@ -492,7 +493,7 @@ def append_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     for part in _batches(deposits_iso(spark, sf)):
         cleaned = clean_deposits(part, DATE_ISO, 18, customer_id=True)
         append_table(
-            project_to(cleaned, SILVER_9), name, partition_by="deposit_date", path=path, max_rows=part.count()
+            project_to(cleaned, SILVER_9), name, partition_by="deposit_date", path=path
         )
     return read_table(spark, name).select(*[t for _, _, t in SILVER_9])
 
@@ -666,7 +667,8 @@ def stream_land(spark: SparkSession, sf: str) -> DataFrame:
     dep = deposits_from_orders(spark, sf, period=True).select(*DEPOSIT_COLUMNS, "mon_yyyy")
     root = _drop_csv(spark, dep, "monthly", partition_by="mon_yyyy")
     name = scratch_table_name("stream_raw")
-    land_new_drops(spark, root, string_schema(DEPOSIT_COLUMNS), name, path=scratch_path(spark, "stream_raw"))
+    land_new_drops(spark, root, string_schema(DEPOSIT_COLUMNS), name, scratch_path(spark, "stream_ckpt"),
+                   path=scratch_path(spark, "stream_raw"))
     return read_table(spark, name).select(
         *DEPOSIT_COLUMNS, CORRUPT_COL,
         F.col("source_file_name").endswith(".csv").alias("from_csv_file"),

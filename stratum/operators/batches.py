@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
+from pyspark.sql.types import TimestampType
 
 from stratum.operators.stamps import INGESTION_COL
 
-# Full-precision text form of a TIMESTAMP_NTZ (no zone involved).
-_NTZ_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-
 
 def batch_max(df: DataFrame, ts_col: str = INGESTION_COL, alias: str = "latest_ts") -> DataFrame:
     """AGG-1: one-row frame with the largest stamp (NULL on empty input)."""
@@ -34,8 +31,9 @@ def pin_latest_stamp(df: DataFrame, ts_col: str = INGESTION_COL) -> Column | Non
     """The latest stamp as an exact literal, or ``None`` when there is no batch.
 
     One small job (a one-column max). The value travels as epoch microseconds
-    (TIMESTAMP) or full-precision text (TIMESTAMP_NTZ and other types), never
-    as a Python ``datetime``, so no session or OS time zone can shift it.
+    (TIMESTAMP) or as the value's own text (TIMESTAMP_NTZ and other types; the
+    cast keeps every microsecond and knows no zone), never as a Python
+    ``datetime``, so no session or OS time zone can shift it.
     A flow that reads the batch several times pins it once: every read sees
     the same batch even if another load lands meanwhile, the maximum is not
     recomputed over the whole history per read, and the literal filter is
@@ -45,9 +43,6 @@ def pin_latest_stamp(df: DataFrame, ts_col: str = INGESTION_COL) -> Column | Non
     if isinstance(dtype, TimestampType):
         v = df.select(F.unix_micros(F.max(ts_col))).first()[0]
         return None if v is None else F.timestamp_micros(F.lit(v))
-    if isinstance(dtype, TimestampNTZType):
-        v = df.select(F.date_format(F.max(ts_col), _NTZ_TEXT)).first()[0]
-        return None if v is None else F.lit(v).cast(TimestampNTZType())
     v = df.select(F.max(ts_col).cast("string")).first()[0]
     return None if v is None else F.lit(v).cast(dtype)
 

@@ -7,11 +7,10 @@ writes, never from a rescan:
 * ``ingest_declared``: emptiness check (one-row limit) + one append job;
   ``ingest_strings``: one append job (its landing step has no guard).
 * ``refine_replace`` / ``refine_append``: one tiny job pinning the latest
-  stamp (a one-column max; NULL means no batch, so it is also the emptiness
-  guard), a count of the pruned batch (an upper bound that lets the sink pick
-  its partitioned-write strategy by size) + one write job.
+  stamp (a one-column max; NULL means no batch), a one-row check that the
+  stamp selects something + one write job.
 * ``refine_validated``: the pinning job + three write jobs (rejects, valid,
-  silver; the valid count observed on the second bounds the third). Both
+  silver). Both
   batch reads use the pinned literal, so they see the same batch even if
   another load lands meanwhile, and the filter prunes row groups at planning
   time. Silver is built from the validated table just written, so the raw
@@ -104,9 +103,12 @@ def pinned_batch(raw: DataFrame, empty_batch: str = "stop") -> DataFrame:
     stamp = pin_latest_stamp(raw)
     if stamp is None:
         if empty_batch == "stop":
-            raise EmptyBatchError("no records found in the latest batch")
+            raise EmptyBatchError("the table holds no stamped row, so there is no batch to refine")
         return raw.where(F.lit(False))
-    return batch_at(raw, stamp)
+    batch = batch_at(raw, stamp)
+    if empty_batch == "stop" and batch.isEmpty():
+        raise EmptyBatchError("the pinned stamp selects no row; the target is left as it is")
+    return batch
 
 
 # --------------------------------------------------------------------------
@@ -194,7 +196,6 @@ def refine_replace(
     silver = refine_batch(batch, dedupe, contract, date_format, precision, strict)
     n = overwrite_table(
         silver, target_table, fmt=fmt, partition_by=_date_target(contract), path=path, count=True,
-        max_rows=batch.count(),  # proven bound: the pruned batch, counted from its row groups
     )
     return {"written": n or 0}
 
@@ -265,7 +266,7 @@ def refine_validated(
     silver = silver_from_valid(read_table(spark, valid_table), dedupe, contract, date_format, precision, strict)
     n_silver = overwrite_table(
         silver, silver_table, fmt=fmts["silver"], partition_by=_date_target(contract), path=paths.get("silver"),
-        count=True, max_rows=audit["valid"],  # silver keeps at most the valid rows
+        count=True,
     )
     audit.update(rejected_written=n_rej or 0, written=n_silver or 0)
     return audit
@@ -310,6 +311,5 @@ def refine_append(
     silver = append_batch(batch, contract, date_format, precision, strict)
     n = append_table(
         silver, target_table, fmt=fmt, partition_by=_date_target(contract), path=path, count=True,
-        max_rows=batch.count(),
     )
     return {"written": n or 0}

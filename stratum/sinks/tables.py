@@ -6,13 +6,9 @@ groups each date's rows, and adaptive execution splits a date that holds a
 large share of the batch into several tasks and merges small ones -- unlike a
 plain ``repartition(col)``, which would send a hot date to one task.
 
-Small writes are the exception: adaptive execution sizes partitions by bytes,
-so a few MB spread over thousands of dates collapse into a single writer task
-that creates every file in turn. When the caller proves the write small
-(``max_rows`` at most ``SMALL_WRITE_ROWS``, e.g. the row count of the batch
-being refined), the rows are hash-partitioned by date into a fixed number of
-writers instead; even a date holding every row is then a size one task
-handles.
+``writers`` (a number the caller fixes, whatever the data) replaces it by a hash
+partitioning into so many tasks, for layouts where the number of files matters
+more than their size.
 
 Counting: ``count=True`` attaches an ``Observation`` at the top of the plan
 being written, so the row count comes from the same job -- no second scan,
@@ -33,9 +29,6 @@ APPEND, OVERWRITE = "append", "overwrite"
 # Hive-style file-source table formats (partitions tracked in the catalog).
 FILE_FORMATS = {"parquet", "orc", "csv", "json", "avro", "text"}
 
-# Upper bound on rows for the fixed-width partitioned write (see module doc).
-SMALL_WRITE_ROWS = 2_000_000
-
 
 def _as_list(cols: str | list[str] | None) -> list[str]:
     if cols is None:
@@ -52,14 +45,14 @@ def write_table(
     path: str | None = None,
     rebalance: bool = True,
     count: bool = False,
-    max_rows: int | None = None,
+    writers: int | None = None,
 ) -> int | None:
     """Write ``df`` to catalog table ``name``; returns the row count when asked.
 
     ``fmt`` defaults to the session's table format (``spark.sql.sources.default``);
     pass ``"delta"`` where that format's jars are on the classpath. ``path``
-    makes it an external table at that location. ``max_rows`` is an upper
-    bound on the rows written, when the caller knows one.
+    makes it an external table at that location. ``writers`` fixes
+    the number of tasks of a partitioned write.
     """
     if mode not in (APPEND, OVERWRITE):
         raise ValueError(f"mode must be append or overwrite, not {mode!r}")
@@ -78,10 +71,7 @@ def write_table(
         _write(df.limit(0), name, mode, fmt, parts, path)
         mode = APPEND
     if parts and rebalance:
-        if max_rows is not None and max_rows <= SMALL_WRITE_ROWS:
-            df = df.repartition(_writers(df), *parts)
-        else:
-            df = df.hint("rebalance", *parts)
+        df = df.repartition(writers, *parts) if writers else df.hint("rebalance", *parts)
     obs = None
     if count:
         # above any exchange: counted in the result stage that writes the files
@@ -95,21 +85,14 @@ def _file_format(spark, name: str, fmt: str | None, exists: bool) -> bool:
     """Whether the target is (or will be) a Hive-style file-source table."""
     provider = fmt
     if provider is None and exists:
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Provider'").collect()
+        quoted = ".".join(f"`{part}`" for part in name.replace("`", "").split("."))
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").where("col_name = 'Provider'").collect()
         provider = rows[0][1] if rows else None
     if provider is None:
         provider = spark.conf.get("spark.sql.sources.default", "parquet")
     return str(provider).lower() in FILE_FORMATS
 
 
-def _writers(df: DataFrame) -> int:
-    """Writer tasks for a small partitioned write: the session's shuffle width."""
-    try:
-        return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    except (TypeError, ValueError):
-        return 200
-
-
 def _write(df: DataFrame, name: str, mode: str, fmt: str | None, parts: list[str], path: str | None) -> None:
     writer = df.write.mode(mode)
     if fmt:

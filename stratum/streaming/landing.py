@@ -23,7 +23,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from stratum.operators.stamps import stamp_ingestion, stamp_source_file
-from stratum.scratch import scratch_path
 from stratum.sources.files import CORRUPT_COL
 
 
@@ -32,18 +31,19 @@ def land_new_drops(
     source_dir: str,
     schema: StructType,
     table: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     header: bool = True,
     fmt: str | None = None,
     path: str | None = None,
     with_source_file: bool = True,
     **options: str,
 ) -> dict[str, int]:
-    """Land every not-yet-landed CSV file under ``source_dir`` into ``table``.
+    """Land every not-yet-landed file under ``source_dir``, whatever its name, into
+    ``table`` (compressed drops included, as in the batch reader).
 
-    Returns ``{"rows": n, "batches": b}`` for this run. ``checkpoint``
-    defaults to a fresh folder below the shared checkpoint root; pass a
-    fixed one to resume across runs. ``options`` go to the file source, e.g.
+    Returns ``{"rows": n}``: by how many rows the table grew, counted in the table
+    itself. ``checkpoint`` is the table's own folder, the same in every run: it
+    records what has landed. ``options`` go to the file source, e.g.
     ``cleanSource="archive", sourceArchiveDir=...`` to move landed drops out
     of the folder so that later runs do not list years of old files.
     """
@@ -52,7 +52,6 @@ def land_new_drops(
         .option("header", header)
         .option("mode", "PERMISSIVE")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
     )
     if CORRUPT_COL in schema.fieldNames():
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
@@ -61,10 +60,11 @@ def land_new_drops(
     stream = stamp_ingestion(reader.csv(source_dir))
     if with_source_file:
         stream = stamp_source_file(stream)
+    before = spark.table(table).count() if spark.catalog.tableExists(table) else 0
     writer = (
         stream.writeStream.outputMode("append")
         .trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "landing-ckpt"))
+        .option("checkpointLocation", checkpoint)
     )
     if fmt:
         writer = writer.format(fmt)
@@ -72,5 +72,4 @@ def land_new_drops(
         writer = writer.option("path", path)
     query = writer.toTable(table)
     query.awaitTermination()
-    progress = [p for p in query.recentProgress if p.get("numInputRows")]
-    return {"rows": int(sum(p["numInputRows"] for p in progress)), "batches": len(progress)}
+    return {"rows": spark.table(table).count() - before}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 
-import __spark_entry__ as entry_mod
+from stratum.checks.catalog import QUERIES
 
 from conftest import ROOT
 
@@ -15,5 +15,5 @@ def test_readme_inventory_lists_every_check():
     table = text[text.index("## Inventory coverage"):text.index("Conflicts inside the reference")]
     check_cells = [line.rsplit("|", 2)[-2] for line in table.splitlines() if line.startswith("| ")]
     named = set(re.findall(r"`([a-z_0-9]+)`", " ".join(check_cells)))
-    registered = set(entry_mod.queries())
+    registered = set(QUERIES)
     assert registered <= named, sorted(registered - named)

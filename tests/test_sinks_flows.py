@@ -217,16 +217,13 @@ def test_partitioned_overwrite_from_itself_is_refused(spark, tmp_dir):
 
 
 def test_small_bounded_write_uses_fixed_writers(spark, tmp_dir):
-    from stratum.sinks.tables import SMALL_WRITE_ROWS
-
     df = spark.range(300).withColumn("d", F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 30).cast("int")))
     t = name("small")
-    assert overwrite_table(df, t, partition_by="d", path=tmp_dir + "/small", count=True, max_rows=300) == 300
+    assert overwrite_table(df, t, partition_by="d", path=tmp_dir + "/small", count=True, writers=8) == 300
     writers = {f.split("-")[1] for p in os.listdir(tmp_dir + "/small") if p.startswith("d=")
                for f in os.listdir(f"{tmp_dir}/small/{p}") if f.endswith(".parquet")}
     assert len(writers) > 1  # hash-partitioned by date over several writer tasks
     assert spark.table(t).count() == 300
-    assert SMALL_WRITE_ROWS >= 1_000_000
 
 
 def test_every_silver_row_traces_to_a_batch_row(spark, tmp_dir):
@@ -308,3 +305,54 @@ def test_append_creating_a_table_at_a_used_path_matches_save_as_table(spark, tmp
             append_table(new, t, partition_by="d", path=f"{tmp_dir}/{how}")
         seen.append(sorted(r.v for r in spark.table(t).collect()))
     assert seen[0] == seen[1]
+
+
+def test_pinned_ntz_stamp_on_a_spring_gap_keeps_silver(spark, tmp_dir):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        dep = deposits_from_orders(spark, SF_SMALL)
+        one = dep.limit(20).drop("ingestion_timestamp").withColumn(
+            "ingestion_timestamp", F.lit("2026-03-08 02:30:00").cast("timestamp_ntz"))
+        raw = land_raw(spark, one, tmp_dir)
+        out = name("gap")
+        assert refine_replace(spark, raw, out, path=f"{tmp_dir}/gap")["written"] > 0
+        assert spark.table(out).count() > 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_streams_land_any_file_name_and_every_trigger(spark, tmp_dir):
+    import gzip
+
+    root, t = tmp_dir + "/any", name("any")
+    os.makedirs(root)
+    head = ",".join(DEPOSIT_COLUMNS)
+    line = ",".join("x" for _ in DEPOSIT_COLUMNS)
+    open(f"{root}/x.csv", "w").write(f"{head}\n{line}\n{line}\n")
+    open(f"{root}/z.CSV", "w").write(f"{head}\n{line}\n")
+    with gzip.open(f"{root}/y.csv.gz", "wt") as f:
+        f.write(f"{head}\n{line}\n")
+    land = lambda: land_new_drops(spark, root, string_schema(DEPOSIT_COLUMNS), t, tmp_dir + "/anyckpt", path=tmp_dir + "/anyt",
+                                  maxFilesPerTrigger="1")
+    assert land()["rows"] == 4
+    open(f"{root}/n.csv", "w").write(f"{head}\n{line}\n")
+    assert land()["rows"] == 1 and spark.table(t).count() == 5
+
+
+def test_a_hot_date_is_split_through_the_flow(spark, tmp_dir):
+    keys = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    dep = deposits_iso(spark, SF_SMALL).withColumn("deposit_timestamp", F.lit("2026-01-01 10:00:00"))
+    stamped = dep.withColumn("ingestion_timestamp", F.lit("2026-03-01 00:00:00").cast("timestamp_ntz"))
+    raw = land_raw(spark, stamped.unionAll(stamped).unionAll(stamped), tmp_dir)
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        refine_append(spark, raw, name("hotflow"), path=f"{tmp_dir}/hotflow")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    dates = [p for p in os.listdir(f"{tmp_dir}/hotflow") if "=" in p]
+    files = [f for f in os.listdir(f"{tmp_dir}/hotflow/{dates[0]}") if f.endswith(".parquet")]
+    assert len(dates) == 1 and len(files) > 1

@@ -79,7 +79,7 @@ def main() -> None:
          "Dedupe exchange, then the `REBALANCE(deposit_date)` exchange: AQE splits hot dates, merges small ones.",
          silver.hint("rebalance", "deposit_date")),
         ("FLOW-3 silver, as written under a proven small bound",
-         "Fixed-width hash partitioning by date (`max_rows` <= 2M): one writer per shuffle partition.",
+         "REBALANCE by date: adaptive execution splits a hot date and merges small ones.",
          silver.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "deposit_date")),
         ("Keep-any dedupe (AGG-3)", "Partial aggregate before the exchange.",
          dedupe_by_account(pinned, "any")),
