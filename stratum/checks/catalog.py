@@ -53,7 +53,7 @@ from stratum.sources.files import (
     read_csv_strings,
     string_schema,
 )
-from stratum.sources.guards import require_batch, require_rows
+from stratum.sources.guards import EmptyBatchError, EmptySourceError, MissingSourceError, require_batch, require_rows
 from stratum.sources.tables import read_table
 from stratum.streaming.landing import land_new_drops
 
@@ -181,6 +181,50 @@ def guards(spark: SparkSession, sf: str) -> DataFrame:
     return require_batch(latest_batch(require_rows(deposits_from_orders(spark, sf))))
 
 
+@register(
+    "guards_raised",
+    f"""{q.dep_ctes()},
+n AS (SELECT (SELECT count(*) FROM dep) AS landed, (SELECT count(*) FROM (SELECT DISTINCT account_id FROM batch)) AS silver)
+SELECT 'missing_source' AS guard, TRUE AS raised, landed AS rows_kept FROM n
+UNION ALL SELECT 'empty_source', TRUE, landed FROM n
+UNION ALL SELECT 'empty_batch_stop', TRUE, silver FROM n
+UNION ALL SELECT 'empty_batch_pass', FALSE, 0 FROM n""",
+)
+def guards_raised(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-6, SRC-7, SRC-8 firing: after a good load the same flow meets a missing
+    drop, an empty drop and a table without a stamped row; whether it raised, and
+    the rows its target holds afterwards."""
+    dep = deposits_from_orders(spark, sf)
+    texts, schema = dep.select(*DEPOSIT_COLUMNS), string_schema(DEPOSIT_COLUMNS)
+    landed, landed_path = scratch_table_name("landed"), scratch_path(spark, "landed")
+    silver, silver_path = scratch_table_name("silver"), scratch_path(spark, "silver")
+    ingest_declared(spark, _drop_csv(spark, texts, "drop"), landed, schema, path=landed_path)
+    refine_replace(spark, _land(spark, dep, "raw"), silver, dedupe="first", path=silver_path)
+    no_rows = _drop_csv(spark, texts.where(F.lit(False)), "no-rows")
+    no_stamp = _land(spark, dep.withColumn("ingestion_timestamp", F.lit(None).cast("timestamp_ntz")), "unstamped")
+
+    def land(source: str) -> None:
+        ingest_declared(spark, source, landed, schema, path=landed_path)
+
+    def refine(policy: str) -> None:
+        refine_replace(spark, no_stamp, silver, dedupe="first", path=silver_path, empty_batch=policy)
+
+    rows = []
+    for guard, step, given, target in (
+        ("missing_source", land, scratch_path(spark, "missing"), landed),
+        ("empty_source", land, no_rows, landed),
+        ("empty_batch_stop", refine, "stop", silver),
+        ("empty_batch_pass", refine, "pass", silver),
+    ):
+        try:
+            step(given)
+            raised = False
+        except (MissingSourceError, EmptySourceError, EmptyBatchError):
+            raised = True
+        rows.append((guard, raised, read_table(spark, target).count()))
+    return spark.createDataFrame(rows, "guard string, raised boolean, rows_kept long")
+
+
 # ---------------------------------------------------------------- stamps
 @register(
     "stamp_time",
@@ -617,6 +661,69 @@ def flow_refine_validated(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, names["silver"]).select(*_CAPS)
 
 
+def _validated(spark: SparkSession, sf: str, rejects: str = "distinct") -> tuple[dict[str, str], dict[str, int]]:
+    """FLOW-4 over the derived raw table: its three tables' names, and its audit."""
+    raw = _land(spark, deposits_from_orders(spark, sf), "raw")
+    names = {t: scratch_table_name(t) for t in ("valid", "rejected", "silver")}
+    audit = refine_validated(
+        spark, raw, names["valid"], names["rejected"], names["silver"], rejects=rejects, dedupe="latest",
+        paths={t: scratch_path(spark, t) for t in names},
+    )
+    return names, audit
+
+
+@register("flow_validated_valid", f"{q.dep_ctes()} SELECT * FROM batch WHERE {q.rules_ok()}")
+def flow_validated_valid(spark: SparkSession, sf: str) -> DataFrame:
+    """FLOW-4's validated table."""
+    return read_table(spark, _validated(spark, sf)[0]["valid"])
+
+
+@register(
+    "flow_validated_rejects",
+    f"{q.dep_ctes()} SELECT * FROM batch EXCEPT SELECT * FROM batch WHERE {q.rules_ok()}",
+)
+def flow_validated_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """FLOW-4's quarantine table under the as-coded distinct reading."""
+    return read_table(spark, _validated(spark, sf)[0]["rejected"])
+
+
+@register(
+    "flow_validated_rejects_all",
+    f"{q.dep_ctes()} SELECT * FROM batch WHERE NOT coalesce({q.rules_ok()}, FALSE)",
+)
+def flow_validated_rejects_all(spark: SparkSession, sf: str) -> DataFrame:
+    """FLOW-4's quarantine table keeping every rejected row."""
+    return read_table(spark, _validated(spark, sf, rejects="all")[0]["rejected"])
+
+
+@register(
+    "flow_validated_audit",
+    f"""{q.dep_ctes()}, t AS (SELECT *, coalesce({q.rules_ok()}, FALSE) AS ok FROM batch)
+SELECT count(*) AS processed, count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (WHERE NOT ok) AS rejected,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM t WHERE NOT ok)) AS rejected_written,
+       count(DISTINCT CASE WHEN ok THEN account_id END) AS written FROM t""",
+)
+def flow_validated_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """AUD-1 as FLOW-4 returns it, observed on its writes."""
+    audit = _validated(spark, sf)[1]
+    return spark.createDataFrame([tuple(audit.values())], ", ".join(f"{k} long" for k in audit))
+
+
+@register(
+    "flow_refine_append_months",
+    f"{q.dep_ctes(q.ISO)}, c AS ({q.cleaned('dep', q.ISO, 18, customer=True)}) SELECT {q.SILVER_9} FROM c",
+)
+def flow_refine_append_months(spark: SparkSession, sf: str) -> DataFrame:
+    """FLOW-5 once a month, the validated table laid out by batch: every earlier
+    month stays in the silver table."""
+    validated, validated_path = scratch_table_name("validated"), scratch_path(spark, "validated")
+    name, path = scratch_table_name("silver9"), scratch_path(spark, "silver9")
+    for part in _batches(deposits_iso(spark, sf)):
+        append_table(part, validated, partition_by="ingestion_timestamp", path=validated_path)
+        refine_append(spark, validated, name, path=path)
+    return read_table(spark, name).select(*[t for _, _, t in SILVER_9])
+
+
 @register(
     "flow_refine_append",
     f"{q.dep_ctes(q.ISO)}, c AS ({q.cleaned('batch', q.ISO, 18, customer=True)}) SELECT {q.SILVER_9} FROM c",

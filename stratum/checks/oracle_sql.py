@@ -19,6 +19,7 @@ TEXT_COLS = [
     "deposit_timestamp",
     "amount",
 ]
+# The same patterns as the predicates.
 PHONE_RE = r"^[0-9\-]+$"
 EMAIL_RE = r"^[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}$"
 
@@ -42,9 +43,9 @@ dep AS (
     CASE WHEN k % 79 = 0 THEN 'not-an-email' WHEN k % 79 = 1 THEN NULL
          ELSE 'user' || CAST(c AS VARCHAR) || '@example.com' END AS email_address,
     CASE WHEN k % 73 = 0 THEN '  ' ELSE CAST(c % 50 AS VARCHAR) END AS branch_id,
-    strftime(o_orderdate, '{date_fmt}') AS deposit_timestamp,
-    '$' || format('{{:,.2f}}', o_totalprice) AS amount,
-    CAST(c AS VARCHAR) AS customer_id,
+    CASE WHEN k % 71 = 0 THEN 'unknown' ELSE strftime(o_orderdate, '{date_fmt}') END AS deposit_timestamp,
+    CASE WHEN k % 67 = 1 THEN 'n/a' ELSE '$' || format('{{:,.2f}}', o_totalprice) END AS amount,
+    CASE WHEN k % 59 = 0 THEN 'C' || CAST(c AS VARCHAR) ELSE CAST(c AS VARCHAR) END AS customer_id,
     CASE k % 3 WHEN 0 THEN TIMESTAMP '2026-01-05 00:00:00'
                WHEN 1 THEN TIMESTAMP '2026-02-05 00:00:00'
                ELSE TIMESTAMP '2026-03-05 00:00:00' END AS ingestion_timestamp

@@ -122,16 +122,20 @@ def ingest_declared(
     fmt: str | None = None,
     ingestion_ts: _dt.datetime | Column | None = None,
     path: str | None = None,
+    partition_by: str | list[str] | None = None,
 ) -> dict[str, int]:
     """FLOW-1: declared-schema CSV drop -> stamps -> append to the raw table.
 
     Malformed rows are kept with their text in ``_corrupt_record``; every row
-    gets the batch stamp and its source file.
+    gets the batch stamp and its source file. ``partition_by="ingestion_timestamp"``
+    lays the raw table out by batch, so that reading the latest one skips the
+    folders of all earlier ones (give the stamp as TIMESTAMP_NTZ where the session
+    zone repeats an hour: folder names hold local time).
     """
     raw = open_source(lambda: read_csv_declared(spark, source_path, schema), source_path)
     require_rows(raw)
     landed = stamp_source_file(stamp_ingestion(raw, ingestion_ts))
-    n = append_table(landed, table, fmt=fmt, path=path, count=True)
+    n = append_table(landed, table, fmt=fmt, path=path, partition_by=partition_by, count=True)
     return {"rows": n or 0}
 
 
@@ -142,10 +146,13 @@ def ingest_strings(
     fmt: str | None = None,
     ingestion_ts: _dt.datetime | Column | None = None,
     path: str | None = None,
+    partition_by: str | list[str] | None = None,
 ) -> dict[str, int]:
-    """FLOW-2: header-named all-string CSV drop -> stamp -> append."""
+    """FLOW-2: header-named all-string CSV drop -> stamp -> append (``partition_by``
+    as in ``ingest_declared``)."""
     raw = open_source(lambda: read_csv_strings(spark, source_path), source_path)
-    n = append_table(stamp_ingestion(raw, ingestion_ts), table, fmt=fmt, path=path, count=True)
+    landed = stamp_ingestion(raw, ingestion_ts)
+    n = append_table(landed, table, fmt=fmt, path=path, partition_by=partition_by, count=True)
     return {"rows": n or 0}
 
 

@@ -2,8 +2,8 @@
 
 The pipelines work on monthly deposit drops; the test tables hold orders. This
 view turns every order into one deposit row with deterministic defects (NULL,
-blank and ``NaN`` ids, bad phones and e-mails, blank branches) and exact
-repeats, stamped into three monthly batches. It is a projection plus a union
+blank and ``NaN`` ids, bad phones and e-mails, blank branches, dates, amounts and
+customer numbers that do not parse) and exact repeats, stamped into three monthly batches. It is a projection plus a union
 with a filtered second scan: no shuffle, so it scales with ``orders``.
 """
 
@@ -21,6 +21,9 @@ ACCOUNT_ID_MOD = 89  # 0 -> NULL
 PHONE_MOD = 83  # 0 -> '+1 555 0100'
 EMAIL_MOD = 79  # 0 -> 'not-an-email', 1 -> NULL
 BRANCH_MOD = 73  # 0 -> two spaces
+DATE_MOD = 71  # 0 -> text that is no date
+AMOUNT_MOD = 67  # 1 -> text that is no number
+CUSTOMER_MOD = 59  # 0 -> a letter before the number
 BATCH_STAMPS = ["2026-01-05 00:00:00", "2026-02-05 00:00:00", "2026-03-05 00:00:00"]
 BATCH_PERIODS = ["jan_2026", "feb_2026", "mar_2026"]
 
@@ -72,9 +75,15 @@ def deposits_from_orders(
         .otherwise(F.concat(F.lit("user"), c.cast("string"), F.lit("@example.com")))
         .alias("email_address"),
         F.when(k % BRANCH_MOD == 0, F.lit("  ")).otherwise((c % 50).cast("string")).alias("branch_id"),
-        F.date_format("o_orderdate", date_format).alias("deposit_timestamp"),
-        F.concat(F.lit("$"), F.format_number("o_totalprice", 2)).alias("amount"),
-        c.cast("string").alias("customer_id"),
+        F.when(k % DATE_MOD == 0, F.lit("unknown"))
+        .otherwise(F.date_format("o_orderdate", date_format))
+        .alias("deposit_timestamp"),
+        F.when(k % AMOUNT_MOD == 1, F.lit("n/a"))
+        .otherwise(F.concat(F.lit("$"), F.format_number("o_totalprice", 2)))
+        .alias("amount"),
+        F.when(k % CUSTOMER_MOD == 0, F.concat(F.lit("C"), c.cast("string")))
+        .otherwise(c.cast("string"))
+        .alias("customer_id"),
         stamp.alias("ingestion_timestamp"),
     ]
     if period:

@@ -356,3 +356,20 @@ def test_a_hot_date_is_split_through_the_flow(spark, tmp_dir):
     dates = [p for p in os.listdir(f"{tmp_dir}/hotflow") if "=" in p]
     files = [f for f in os.listdir(f"{tmp_dir}/hotflow/{dates[0]}") if f.endswith(".parquet")]
     assert len(dates) == 1 and len(files) > 1
+
+
+def test_raw_table_by_batch_prunes_earlier_batches(spark, tmp_dir):
+    from stratum.operators import batch_at, pin_latest_stamp
+
+    src, t = tmp_dir + "/bybatch", name("bybatch")
+    write_csv(deposits_from_orders(spark, SF_SMALL).select(*DEPOSIT_COLUMNS), src)
+    for stamp in ("2026-01-05 00:00:00", "2026-02-05 00:00:00"):
+        n = ingest_strings(spark, src, t, ingestion_ts=F.lit(stamp).cast("timestamp_ntz"), path=tmp_dir + "/bybatch_t",
+                           partition_by="ingestion_timestamp")["rows"]
+    raw = spark.table(t)
+    batch = batch_at(raw, pin_latest_stamp(raw))
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingestion_timestamp" in plan
+    assert batch.count() == n == raw.count() // 2
+    assert len(batch.inputFiles()) and {r[0] for r in batch.select("ingestion_timestamp").distinct().collect()} == {
+        dt.datetime(2026, 2, 5)}
