@@ -2,8 +2,8 @@
 
 Edges stay distributed; every step is a minimum per node (combined before the
 shuffle) joined back to the edges, so a node with very many neighbours is split
-like any skewed join. Each round ends at a written table. The loop stops when a
-round leaves the edges as they were.
+like any skewed join. Each round ends at a written table. The loop stops when the
+edges are stars, each around the least node of its component.
 """
 
 from __future__ import annotations
@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 from stratum.llm.common import materialise
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return int(r[0]), int(r[1] or 0)
+def _settled(edges: DataFrame) -> bool:
+    """Whether edges (u > v) are stars: each u has one v, and no v is a u."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("low")).unionAll(
+        edges.select("v", F.lit(0), F.lit(1)))
+    per_node = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("low").alias("low"))
+    return per_node.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("low") > 0))).count() == 0
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,15 +42,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     node of an edge other than its component's least node, the label; a node
     without a row is its own label. No edges: no rows. Rounds grow with the
     logarithm of the longest path; passing ``max_rounds`` is an error."""
-    now = materialise(edges.select("u", "v").where(F.col("u") != F.col("v")).distinct(), "cc")
-    state = _state(now)
-    for _ in range(max_rounds):
-        if not state[0]:
-            break
+    now = materialise(edges.where(F.col("u") != F.col("v")).select(
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
+    rounds = 0
+    while not _settled(now):
+        if rounds == max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         now = materialise(_small_star(_large_star(now)), "cc")
-        before, state = state, _state(now)
-        if state == before:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        rounds += 1
     return now.select(F.col("u").alias("node"), F.col("v").alias("label"))

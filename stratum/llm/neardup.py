@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.common import materialise, ship_package
@@ -205,15 +205,13 @@ def classes(documents: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.xxhash64(b, F.substring(F.col("sig"), b * (4 * ROWS) + 1, F.lit(4 * ROWS))))).alias("band", "bucket"))
     shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    members = materialise(bands.join(shared, "bucket"), "nd-mem")
-    weight = members.groupBy("tid").agg(F.sum("n").alias("weight"))
-    members = materialise(members.join(weight, "tid").select("tid", "band", "bucket", "weight"), "nd-hub")
+    members = materialise(bands.join(shared, "bucket").select(  # a window holds the BANDS rows of a text at most
+        "tid", "band", "bucket", F.sum("n").over(Window.partitionBy("tid")).alias("weight")), "nd-mem")
 
-    wanted = weight.select("tid").join(owners.select("tid", "owner"), "tid")
+    wanted = owners.join(members, "tid", "leftsemi").select("tid", "owner")
     same = docs["tid"].eqNullSafe(wanted["tid"]) & docs["doc_id"].eqNullSafe(wanted["owner"])
     texts = materialise(docs.join(wanted, same, "leftsemi").dropDuplicates(["tid"]).select("tid", "text"), "nd-txt")
 
-    links = spark.createDataFrame([], "u binary, v binary")
     labels = spark.createDataFrame([], "node binary, label binary")
     for turn in range(STAR_ROUNDS + 1):
         if turn:
@@ -231,8 +229,7 @@ def classes(documents: DataFrame) -> DataFrame:
                 F.col("tid") != F.col("hub")).select("tid", "band", "bucket", "weight"), "nd-left")
         else:
             found = _left_over(members, owners, texts)
-        links = materialise(links.unionAll(found), "nd-links")
-        labels = components(links)
+        labels = components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionAll(found))
 
     by_text = owners.join(labels, owners["tid"] == labels["node"], "left").select(
         "tid", "owner", F.coalesce("label", "tid").alias("label"))
