@@ -5,18 +5,21 @@ component is the shingle whose arrival comes first in that register, arrivals
 being a Poisson process of the shingle's weight whose points fall into uniform
 registers; two texts agree in a register with probability J_P, their probability
 Jaccard similarity. A text stops drawing arrivals once every register is taken
-and the next arrivals come later than all of them.
+and the next arrivals come later than all of them. A second signature has all weights
+1, so two texts agree in its registers with probability of their plain Jaccard
+similarity; where no shingle repeats it is the first one, and is not kept twice.
 
 1. Equal texts collapse to one (by 128-bit digest), combined before the shuffle.
-2. Bands of the signature name buckets. In every bucket the members are paired
+2. Bands of both signatures name buckets (one name for both, so a text without
+   repeats meets others by either). In every bucket the members are paired
    with one hub, the member that shares most buckets, never with each other.
 3. Pairs are verified on their whole texts: a link has J_P, or plain Jaccard, of
    0.8 or more. Links give components.
 4. A bucket that still holds several components takes another hub; after
    STAR_ROUNDS the members that are left are compared through their signatures
-   in blocks, and what the estimate does not rule out (five standard deviations
+   in blocks, and what the two estimates do not both rule out (five standard deviations
    below 0.8) is verified there, so that only links leave a block. So every pair
-   that shares a bucket is either verified, ruled out by its estimate, or already
+   that shares a bucket is either verified, ruled out by both estimates, or already
    in one component.
 
 With 24 bands of 4 a pair of similarity 0.8 shares no bucket once in 300,000.
@@ -33,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.common import materialise, ship_package
@@ -90,9 +93,16 @@ def _sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             doc, h, w = weighted_shingles(piece)
             sig = prob_minhash(doc, h, w.astype(np.float64), len(piece))
             has = np.bincount(doc, minlength=len(piece)) > 0
+            most = np.zeros(len(piece), np.int64)
+            np.maximum.at(most, doc, w)
+            repeats = most > 1
+            own = repeats[doc]
+            place = np.cumsum(repeats) - 1
+            plain = prob_minhash(place[doc[own]], h[own], np.ones(int(own.sum())), int(repeats.sum()))
             part = f.iloc[start:start + len(piece)]
             yield pd.DataFrame({"tid": part["tid"], "doc_id": part["doc_id"],
-                                "sig": [s.tobytes() if x else None for s, x in zip(sig, has)]})
+                                "sig": [s.tobytes() if x else None for s, x in zip(sig, has)],
+                                "plain": [plain[k].tobytes() if x else None for k, x in zip(place, repeats)]})
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, float]:
@@ -125,18 +135,36 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield f.loc[linked, ["a", "b"]].rename(columns={"a": "u", "b": "v"})
 
 
+def _signatures(f: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted and plain signatures, (members, REGISTERS) each."""
+    plain = [s if p is None else p for s, p in zip(f["sig"], f["plain"])]
+    return tuple(np.stack([np.frombuffer(x, np.uint32) for x in own]) for own in (f["sig"], plain))
+
+
 def _candidates(left: pd.DataFrame, right: pd.DataFrame, band: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(row of ``left``, rows of ``right``) that the estimate leaves in: of different
+    """(row of ``left``, rows of ``right``) that an estimate leaves in: of different
     components, and sharing no band before this one, where they are compared too."""
-    sr = np.stack([np.frombuffer(x, np.uint32) for x in right["sig"]])
+    (lw, lp), (rw, rp) = _signatures(left), _signatures(right)
     names = {label: k for k, label in enumerate({*left["label"], *right["label"]})}
     rl = np.array([names[x] for x in right["label"]])
-    for i, (label, sig) in enumerate(zip(left["label"], left["sig"])):
-        agree = sr == np.frombuffer(sig, np.uint32)
-        near = (agree.mean(axis=1) >= RULED_OUT) & (rl != names[label])
-        near[near] = agree[near].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
-        if near.any():
-            yield i, np.flatnonzero(near)
+    odd = np.flatnonzero((rw != rp).any(axis=1))  # the others have one signature
+    for i, label in enumerate(left["label"]):
+        agree = rw == lw[i]
+        near = agree.mean(axis=1) >= RULED_OUT
+        if (lw[i] != lp[i]).any():
+            near |= (rp == lp[i]).mean(axis=1) >= RULED_OUT
+        elif len(odd):
+            near[odd] |= (rp[odd] == lp[i]).mean(axis=1) >= RULED_OUT
+        near &= rl != names[label]
+        at = np.flatnonzero(near)
+        if len(at):
+            met = np.zeros((len(at), BANDS), dtype=bool)
+            for mine in (lw[i], lp[i]):
+                for theirs in (rw, rp):
+                    met |= (theirs[at] == mine).reshape(-1, BANDS, ROWS).all(axis=2)
+            at = at[met.argmax(axis=1) == band]
+        if len(at):
+            yield i, at
 
 
 def _weighted(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -197,15 +225,19 @@ def classes(documents: DataFrame) -> DataFrame:
     ship_package(spark)
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.select(F.unhex(F.md5("text")).alias("tid"), "doc_id", "text")
-    signed = materialise(docs.mapInPandas(_sign, "tid binary, doc_id long, sig binary"), "nd-sig")
+    signed = materialise(docs.mapInPandas(_sign, "tid binary, doc_id long, sig binary, plain binary"), "nd-sig")
     owners = materialise(signed.groupBy("tid").agg(
-        F.min("doc_id").alias("owner"), F.count(F.lit(1)).alias("copies"), F.min("sig").alias("sig")), "nd-own")
+        F.min("doc_id").alias("owner"), F.count(F.lit(1)).alias("copies"), F.min("sig").alias("sig"),
+        F.min("plain").alias("plain")), "nd-own")
+
+    def named(signature: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(
+            b, F.substring(signature, b * (4 * ROWS) + 1, F.lit(4 * ROWS))).alias("bucket")))
 
-    bands = owners.where(F.col("sig").isNotNull()).select("tid", F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda b: F.xxhash64(b, F.substring(F.col("sig"), b * (4 * ROWS) + 1, F.lit(4 * ROWS))))).alias("band", "bucket"))
+    both = F.when(F.col("plain").isNull(), named(F.col("sig"))).otherwise(F.array_union(named(F.col("sig")), named(F.col("plain"))))
+    bands = owners.where(F.col("sig").isNotNull()).select("tid", F.inline(both))
     shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    members = materialise(bands.join(shared, "bucket").select(  # a window holds the BANDS rows of a text at most
+    members = materialise(bands.join(shared, "bucket").select(  # a window holds 2 * BANDS rows of a text at most
         "tid", "band", "bucket", F.sum("n").over(Window.partitionBy("tid")).alias("weight")), "nd-mem")
 
     wanted = owners.join(members, "tid", "leftsemi").select("tid", "owner")
@@ -233,9 +265,9 @@ def classes(documents: DataFrame) -> DataFrame:
 
     by_text = owners.join(labels, owners["tid"] == labels["node"], "left").select(
         "tid", "owner", F.coalesce("label", "tid").alias("label"))
-    named = by_text.groupBy("label").agg(
+    groups = by_text.groupBy("label").agg(
         F.min("owner").alias("class_id"), F.min(F.struct(F.col("owner").isNull(), "owner", "tid"))["tid"].alias("keep"))
-    per_text = materialise(by_text.join(named, "label").select("tid", "class_id", "owner", "label", "keep"), "nd-class")
+    per_text = materialise(by_text.join(groups, "label").select("tid", "class_id", "owner", "label", "keep"), "nd-class")
     rows = documents.select(F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("tid"), "doc_id")
     return rows.join(per_text, "tid").select(
         "doc_id", "class_id", "tid", "label",
@@ -254,10 +286,10 @@ def _unsettled(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
 def _left_over(members: DataFrame, owners: DataFrame, texts: DataFrame) -> DataFrame:
     """Links of what is left, from blocks of about BLOCK members at most."""
     n = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    m = members.join(n, "bucket").join(owners.select("tid", "sig"), "tid").join(texts, "tid")
+    m = members.join(n, "bucket").join(owners.select("tid", "sig", "plain"), "tid").join(texts, "tid")
     own = m.withColumn("own", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int"))
     cells = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", "band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "tid", "label", "sig", "text",
+        "bucket", "band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "tid", "label", "sig", "plain", "text",
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
     return cells.groupBy("bucket", "x", "y").applyInPandas(_compare_blocks, "u binary, v binary")
 

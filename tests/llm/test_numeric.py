@@ -6,6 +6,7 @@ import collections
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from stratum.llm import bpe, langid, neardup, packing, pii, spbpe, textnum, tokenfile
@@ -137,3 +138,22 @@ def test_surrogates_keep_kind_format_gender_and_script():
         out += [text[at:s], new[k, v]]
         at = e
     assert [x[2] for x in pii.find("".join(out) + text[at:])] == [x[2] for x in found]
+
+
+def test_blocks_keep_pairs_that_only_plain_jaccard_links():
+    pairs = []
+    for n in range(40):
+        base = " ".join(f"p{n}w{k}" for k in range(300))
+        pairs.append((base, base + f" a{n} b{n} c{n} d{n} e{n} f{n}" * 40))
+    frames = [pd.DataFrame({"tid": [bytes([k, n])], "doc_id": [n], "text": [t]}) for n, p in enumerate(pairs) for k, t in enumerate(p)]
+    signed = pd.concat(neardup._sign(iter(frames)))
+    for n, (a, b) in enumerate(pairs):
+        own = signed[signed.doc_id == n].assign(text=[a, b], label=[b"x", b"y"], side=[0, 1])
+        sets = neardup._weighted([a, b])
+        jp, plain = neardup.similarity(*sets)
+        assert jp < 0.6 and plain > 0.95
+        weighted, alone = neardup._signatures(own)
+        assert (alone[0] == alone[1]).mean() > 0.85
+        met = (alone[0] == alone[1]).reshape(neardup.BANDS, -1).all(axis=1)
+        band = int((met | (weighted[0] == weighted[1]).reshape(neardup.BANDS, -1).all(axis=1)).argmax())
+        assert neardup._compare_blocks(own.assign(band=band))[["u", "v"]].values.tolist() == [[bytes([0, n]), bytes([1, n])]]

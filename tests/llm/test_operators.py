@@ -168,6 +168,15 @@ def test_near_duplicate_classes_equal_brute_force(spark):
     assert got == _brute_classes(texts)
 
 
+def test_near_duplicates_that_only_plain_jaccard_links(spark):
+    texts = {}
+    for n in range(60):  # one side repeats a line many times: J_P is near 0.55
+        base = " ".join(f"p{n}w{k}" for k in range(300))
+        texts |= {2 * n: base, 2 * n + 1: base + f" a{n} b{n} c{n} d{n} e{n} f{n}" * 40}
+    got = {r.doc_id: r.class_id for r in neardup.classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == _brute_classes(texts)
+
+
 def test_near_duplicates_of_edge_rows(spark):
     docs = edge(spark)
     rows = neardup.classes(docs).collect()
