@@ -7,6 +7,12 @@ digits, letters keep case and script, separators, country codes, key prefixes an
 top-level domains stay, a valid card number stays valid, a given name keeps its
 gender. The same value gets the same surrogate wherever it stands (coreference).
 
+A name follows an honorific: up to MOST_NAMES words with initials and particles among
+them. The last word, and any after a particle, is a surname, the others given names;
+particles stay. Every other mention of such a word in the same text is the same entity.
+An initial becomes another letter by a keyed cycle of its alphabet: 26 letters leave no
+room for distinctness from the corpus.
+
 Distinctness is checked over the whole corpus: the distinct values (combined
 before the shuffle) get surrogates; a surrogate that equals some value of the corpus
 or the surrogate of a lesser value is drawn again with the next attempt, until none
@@ -51,7 +57,21 @@ GIVEN = {
 SYLLABLES = {"latin": "ba be bi bo da de di do ka ke ko la le li lo ma me mi mo na ne no ra re ri ro sa se so ta te to va ve vo".split(),
              "cyrillic": "ба бе бо ва ве да де до за ка ке ко ла ле ло ма ме мо на не но ра ре ро са се со та те то".split()}
 
-_NAME = r"[^\W\d_a-zß-öø-ÿа-яё][^\W\d_]+(?:-[^\W\d_]+)?"
+MOST_NAMES = 6
+PARTICLES = "al bin da das de del della den der di do dos du el ibn la le ter ten van von vom zu zum zur".split()
+# Words that open a sentence or clause; a name ends before them.
+NO_NAMES = ("The This That These Those He She It They We You His Her Their And But Or If When Then There In On At As For To From With "
+            "Ce Cette Il Elle Ils Elles Et Mais Ou Dans Pour Avec Er Sie Es Wir Und Aber Oder Im Am Mit Ein Eine Das "
+            "Ella Ellos En Pero Con Por Para Un Una Est Ist Is Was Has Had Said").split()
+_UPPER = r"[^\W\d_a-zß-öø-ÿа-яё]"
+_NAME = rf"(?:{_UPPER}['’])?{_UPPER}[^\W\d_]+(?:-[^\W\d_]+)*"
+_INITIAL = rf"{_UPPER}(?:\.(?:-?{_UPPER}\.)*[ \xa0]?|[ \xa0])"
+_LEAD = rf"(?:{_INITIAL}|(?:{'|'.join(x for p in PARTICLES for x in (p, p.capitalize()))})[ \xa0])*"
+_NO_NAME = rf"(?!(?:{'|'.join([*NO_NAMES, *HONORIFICS['m'], *HONORIFICS['f']])})(?!\w))"
+_PART = re.compile(rf"(?P<name>{_NAME})|(?P<initial>(?<!\w){_UPPER}(?!\w))|(?P<particle>[^\W\d_]+)")
+_PARTICLES = {x for p in PARTICLES for x in (p, p.capitalize())}
+_MENTION = re.compile(rf"(?<!\w){_NAME}(?!\w)")
+_NEVER = {*NO_NAMES, *HONORIFICS["m"], *HONORIFICS["f"], *_PARTICLES}
 _PATTERN = re.compile(
     r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-]))"
     r"|(?P<aws>(?<![A-Za-z0-9])(?:AKIA|akia)[A-Za-z0-9]{16}(?![A-Za-z0-9]))"
@@ -59,9 +79,12 @@ _PATTERN = re.compile(
     r"|(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
+    r"|(?P<abroad>(?<![\w+])00[1-9](?=\d{0,2}[ .\-/(])(?:[ .\-/]?\(?\d\)?){6,14}(?!\w))"
     r"|(?P<card>(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w]))"
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\w))"
-    r"|(?P<title>(?<!\w)(?:" + "|".join(HONORIFICS["m"] + HONORIFICS["f"]) + r")\.? )(?P<names>" + _NAME + "(?: " + _NAME + ")?)"
+    r"|(?P<plus>(?<![\w+])\+\d(?:[ .\-/]?\(?\d\)?){6,14}(?!\w))"
+    r"|(?P<title>(?<!\w)(?:" + "|".join(HONORIFICS["m"] + HONORIFICS["f"]) + r")\.?[ \xa0])(?P<names>" + _LEAD + _NAME
+    + r"(?:[ \xa0]" + _LEAD + _NO_NAME + _NAME + r"){0," + str(MOST_NAMES - 1) + "})"
 )
 _GENDER = {h: g for g, own in HONORIFICS.items() for h in own}
 # What a text must hold to have any entity, for a cheap test before the full pattern.
@@ -89,18 +112,59 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             if all(int(x) < 256 for x in m["ip"].split(".")):
                 out.append((m.start(), m.end(), "ip", m["ip"]))
         elif m["title"]:
-            gender, at = _GENDER[m["title"].rstrip(" .")], m.start("names")
-            names = m["names"].split(" ")
-            for k, name in enumerate(names):
-                kind = f"given_{gender}" if k == 0 and len(names) == 2 else "surname"
-                out.append((at, at + len(name), kind, name))
-                at += len(name) + 1
+            out += _names(text, *m.span("names"), _GENDER[m["title"].rstrip(" .\xa0")])
+        elif m["abroad"] or m["plus"]:
+            out.append((m.start(), m.end(), "phone", m[0]))
         else:
             kind = m.lastgroup
             out.append((m.start(), m.end(), kind, m[kind]))
+    return _with_mentions(text, out)
+
+
+def _names(text: str, start: int, end: int, gender: str) -> list[tuple[int, int, str, str]]:
+    """Entities of the name that follows an honorific."""
+    parts = list(_PART.finditer(text, start, end))
+    words = [k for k, p in enumerate(parts) if p["name"] and (p[0] not in _PARTICLES or k == len(parts) - 1)]
+    out, family = [], False
+    for k, p in enumerate(parts):
+        if p["initial"]:
+            out.append((*p.span(), "given_initial", p[0]))
+        elif k in words:
+            kind = "surname" if family or k == words[-1] else f"given_{gender}"
+            out.append((*p.span(), kind, p[0]))
+        else:
+            family = True
     return out
 
 
+def _with_mentions(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """``found`` with every other mention of its names, in order."""
+    names: dict[str, str] = {}
+    for _, _, kind, value in found:
+        if kind in ("given_m", "given_f", "surname") and value not in _NEVER:
+            names.setdefault(value, kind)
+    if not names:
+        return found
+    more = []
+    for m in _MENTION.finditer(text):
+        if m[0] in names:
+            more.append((*m.span(), names[m[0]], m[0]))
+        elif "-" in m[0]:
+            at = m.start()
+            for part in m[0].split("-"):
+                if part in names:
+                    more.append((at, at + len(part), names[part], part))
+                at += len(part) + 1
+    out, k = [], 0
+    for x in more:  # both in order; what lies in a found entity belongs to it
+        while k < len(found) and found[k][1] <= x[0]:
+            out.append(found[k])
+            k += 1
+        if k == len(found) or x[1] <= found[k][0]:
+            out.append(x)
+    return out + found[k:]
+
+
 class _Draw:
     """Keyed numbers for one value and attempt."""
 
@@ -133,6 +197,16 @@ def _luhn(digits: str) -> int:
     return -total % 10
 
 
+_CYCLES = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ", "АБВГДЕЁЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ")
+
+
+def _next_initial(letter: str, key: str) -> str:
+    """The letter after ``letter`` in a keyed order of its alphabet."""
+    own = next((c for c in _CYCLES if letter in c), _CYCLES[0] + letter)
+    order = sorted(own, key=lambda c: hmac.new(key.encode(), f"initial\0{c}".encode(), hashlib.sha256).digest())
+    return order[(order.index(letter) + 1) % len(order)]
+
+
 def _case_like(new: str, old: str) -> str:
     return new.upper() if old.isupper() and len(old) > 1 else new
 
@@ -140,6 +214,8 @@ def _case_like(new: str, old: str) -> str:
 def surrogate(kind: str, value: str, attempt: int = 0, key: str = KEY) -> str:
     """Replacement of the same kind and format."""
     draw = _Draw(key, kind, value, attempt)
+    if kind == "given_initial":
+        return _next_initial(value, key)
     if kind == "ip":
         own = [(1, 9), (10, 99), (100, 254)]
         return ".".join(str(lo + draw.below(hi - lo + 1)) for lo, hi in (own[len(x) - 1] for x in value.split(".")))
@@ -151,7 +227,7 @@ def surrogate(kind: str, value: str, attempt: int = 0, key: str = KEY) -> str:
         fill = iter(new)
         return "".join(next(fill) if c.isdigit() else c for c in value)
     if kind == "phone":
-        cut = re.match(r"\+\d{1,3}(?=[ .(-])", value)
+        cut = re.match(r"(?:\+|00)\d{1,3}(?=[ ./(-])", value)
         head = cut[0] if cut else ""
         body = "".join(str(2 + draw.below(8)) if c.isdigit() and (k == 0 or not p.isdigit()) else draw.like(c)
                        for k, (p, c) in enumerate(zip(" " + value[len(head):], value[len(head):])))
@@ -186,7 +262,8 @@ def _text_key(text: Column) -> Column:
 
 def _found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
-        rows = [(k, kind, value) for k, t in zip(f["tid"], f["text"]) for kind, value in {(x[2], x[3]) for x in find(t)}]
+        rows = [(k, kind, value) for k, t in zip(f["tid"], f["text"]) for kind, value in {(x[2], x[3]) for x in find(t)}
+                if kind != "given_initial"]
         yield pd.DataFrame(rows, columns=["tid", "kind", "value"])
 
 
@@ -219,7 +296,7 @@ def surrogate_table(values: DataFrame, key: str = KEY) -> DataFrame:
     raise RuntimeError(f"surrogates still clash after {MOST_ATTEMPTS} attempts")
 
 
-def _replaced(columns: list[str]):
+def _replaced(columns: list[str], key: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             texts, counts = [], {k: [] for k in COUNTED}
@@ -227,7 +304,7 @@ def _replaced(columns: list[str]):
                 new = {(p["kind"], p["value"]): p["surrogate"] for p in pairs}
                 out, at, own = [], 0, dict.fromkeys(COUNTED, 0)
                 for start, end, kind, value in find(text):
-                    out += [text[at:start], new[kind, value]]
+                    out += [text[at:start], _next_initial(value, key) if kind == "given_initial" else new[kind, value]]
                     at, own[kind.split("_")[0]] = end, own[kind.split("_")[0]] + 1
                 texts.append("".join(out) + text[at:])
                 for k, n in own.items():
@@ -257,7 +334,7 @@ def replace_all(documents: DataFrame, key: str = KEY) -> DataFrame:
     held = maps.withColumnRenamed("tid", "__tid")
     with_map = documents.where(may).join(held, _text_key(F.col("text")) == F.col("__tid"), "left").select(
         *columns, F.coalesce("__map", F.expr("cast(array() as array<struct<kind:string,value:string,surrogate:string>>)")).alias("__map"))
-    changed = with_map.mapInPandas(_replaced(columns), f"{fields}, {counts}")
+    changed = with_map.mapInPandas(_replaced(columns, key), f"{fields}, {counts}")
     plain = documents.where(~may).select(*columns, *[F.lit(0).alias(f"__{k}") for k in COUNTED])
     out = changed.unionAll(plain)
     if "n_chars" in columns:

@@ -157,3 +157,28 @@ def test_blocks_keep_pairs_that_only_plain_jaccard_links():
         met = (alone[0] == alone[1]).reshape(neardup.BANDS, -1).all(axis=1)
         band = int((met | (weighted[0] == weighted[1]).reshape(neardup.BANDS, -1).all(axis=1)).argmax())
         assert neardup._compare_blocks(own.assign(band=band))[["u", "v"]].values.tolist() == [[bytes([0, n]), bytes([1, n])]]
+
+
+def _replaced_spans(text):
+    return [(k, v) for _, _, k, v in pii.find(text)]
+
+
+def test_names_take_initials_particles_and_later_mentions():
+    assert _replaced_spans("Mr. John Q. Smith came. Smith and John Smith left; Smithson stayed.") == [
+        ("given_m", "John"), ("given_initial", "Q"), ("surname", "Smith"), ("surname", "Smith"), ("given_m", "John"), ("surname", "Smith")]
+    assert _replaced_spans("Mr Jean Paul Dupont") == [("given_m", "Jean"), ("given_m", "Paul"), ("surname", "Dupont")]
+    assert _replaced_spans("Frau Anna von der Leyen The end") == [("given_f", "Anna"), ("surname", "Leyen")]
+    assert _replaced_spans("Mr Smith Mrs Jones saw Smith-Brown") == [("surname", "Smith"), ("surname", "Jones"), ("surname", "Smith")]
+    assert _replaced_spans("Mr J.R. O'Brien") == [("given_initial", "J"), ("given_initial", "R"), ("surname", "O'Brien")]
+    assert _replaced_spans("Mr De Niro, Mr Le") == [("surname", "Niro"), ("surname", "Le")]
+    assert _replaced_spans("Mr Smith, smith@a.example.com, Smith") == [("surname", "Smith"), ("email", "smith@a.example.com"), ("surname", "Smith")]
+    cycle = {c: pii.surrogate("given_initial", c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+    assert sorted(cycle.values()) == sorted(cycle) and all(a != b for a, b in cycle.items())
+
+
+@pytest.mark.parametrize("phone", ["+44 20 7946 0958", "+33 1 23 45 67 89", "+49 30 1234567", "+34 912 345 678", "+49 (0)30/1234567",
+                                   "+1 (310) 555-4510", "0044 20 7946 0958", "+33123456789"])
+def test_phones_of_other_countries(phone):
+    assert _replaced_spans(f"call {phone}, please") == [("phone", phone)]
+    new = pii.surrogate("phone", phone)
+    assert new != phone and len(new) == len(phone) and _replaced_spans(f"call {new}, please") == [("phone", new)]

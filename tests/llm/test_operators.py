@@ -208,6 +208,14 @@ def test_clashing_surrogates_are_drawn_again(spark):
     assert len(got) == len(set(got)) == 300
 
 
+def test_later_mentions_get_the_surrogate_of_the_name(spark):
+    text = "Mr. John Q. Smith called +44 20 7946 0958. Later John Smith, then Smith, wrote."
+    new = pii.replace_all(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
+    assert not any(x in new for x in ("John", "Smith", "Q.", "7946"))
+    own = [v for _, _, _, v in pii.find(new)]
+    assert own[0] == own[4] and own[2] == own[5] == own[6]
+
+
 def test_quality_and_top_k_of_edge_rows(spark):
     got = {r.doc_id: r for r in quality.judge(edge(spark)).collect()}
     assert all(got[i].base_failed and not got[i].kept for i in (2, 3, 4, 5, 6)) and got[6].n_words == 150_000
