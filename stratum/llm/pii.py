@@ -16,7 +16,7 @@ room for distinctness from the corpus.
 Distinctness is checked over the whole corpus: the distinct values (combined
 before the shuffle) get surrogates; a surrogate that equals some value of the corpus
 or the surrogate of a lesser value is drawn again with the next attempt, until none
-is left. Documents that may hold an entity are joined with their own values; all
+is left; every WIDER attempts the format is widened, so that this ends. Documents that may hold an entity are joined with their own values; all
 others pass without a shuffle.
 
 Defined cases: null text stays null and has no entities; repeated rows are replaced
@@ -40,7 +40,7 @@ from pyspark.sql.window import Window
 from stratum.llm.common import materialise, ship_package
 
 KEY = "surrogates-1"
-MOST_ATTEMPTS = 64
+WIDER = 4  # attempts after which a format is widened once more
 COUNTED = ("email", "ip", "card", "phone", "iban", "ssn", "secret", "given", "surname")
 
 # Honorifics by gender, and given names by gender and script.
@@ -212,39 +212,48 @@ def _case_like(new: str, old: str) -> str:
 
 
 def surrogate(kind: str, value: str, attempt: int = 0, key: str = KEY) -> str:
-    """Replacement of the same kind and format."""
+    """Replacement of the same kind and format; from attempt WIDER on the format is
+    widened by one more character every WIDER attempts, so no pool runs out."""
     draw = _Draw(key, kind, value, attempt)
+    wider = attempt // WIDER
+
+    def more(letters: str = "0123456789") -> str:
+        return "".join(letters[draw.below(len(letters))] for _ in range(wider))
+
     if kind == "given_initial":
         return _next_initial(value, key)
     if kind == "ip":
-        own = [(1, 9), (10, 99), (100, 254)]
-        return ".".join(str(lo + draw.below(hi - lo + 1)) for lo, hi in (own[len(x) - 1] for x in value.split(".")))
+        own = [(1, 9), (10, 99), (100, 254)]  # beyond: numbers that no address holds
+        size = [len(x) + wider for x in value.split(".")]
+        ranges = [own[n - 1] if n <= 3 else (256, 999) if n == 4 else (10 ** (n - 2), 10 ** (n - 1) - 1) for n in size]
+        return ".".join(str(lo + draw.below(hi - lo + 1)) for lo, hi in ranges)
     if kind == "card":
         digits = [c for c in value if c.isdigit()]
         new = digits[:1] + [str(draw.below(10)) for _ in digits[1:]]
         if _luhn("".join(digits[:-1])) == int(digits[-1]):
             new[-1] = str(_luhn("".join(new[:-1])))
         fill = iter(new)
-        return "".join(next(fill) if c.isdigit() else c for c in value)
+        return "".join(next(fill) if c.isdigit() else c for c in value) + more()
     if kind == "phone":
         cut = re.match(r"(?:\+|00)\d{1,3}(?=[ ./(-])", value)
         head = cut[0] if cut else ""
         body = "".join(str(2 + draw.below(8)) if c.isdigit() and (k == 0 or not p.isdigit()) else draw.like(c)
                        for k, (p, c) in enumerate(zip(" " + value[len(head):], value[len(head):])))
-        return head + body
+        return head + body + more()
     if kind == "email":
         local, _, domain = value.rpartition("@")
         name, _, top = domain.rpartition(".")
-        return "".join(map(draw.like, local)) + "@" + "".join(map(draw.like, name)) + "." + top
+        return "".join(map(draw.like, local)) + more("abcdefghijklmnopqrstuvwxyz") + "@" + "".join(map(draw.like, name)) + "." + top
     if kind == "secret":
         hexa = re.fullmatch(r"[0-9a-fA-F]+", value) is not None
         pick = "0123456789abcdef" if hexa else "abcdefghijklmnopqrstuvwxyz0123456789"
         upper = value.upper() == value
-        return "".join((x.upper() if upper else x) if c.isalnum() else c for c in value for x in (pick[draw.below(len(pick))],))
+        return "".join((x.upper() if upper else x) if c.isalnum() else c for c in value for x in (pick[draw.below(len(pick))],)) + more(
+            pick.upper() if upper else pick)
     if kind == "iban":
-        return value[:2] + "".join(map(draw.like, value[2:]))
+        return value[:2] + "".join(map(draw.like, value[2:])) + more()
     if kind == "ssn":
-        return "".join(map(draw.like, value))
+        return "".join(map(draw.like, value)) + more()
     script = "cyrillic" if re.search("[Ѐ-ӿ]", value) else "latin"
     if kind.startswith("given"):
         own = GIVEN[kind[-1], script]
@@ -285,7 +294,7 @@ def surrogate_table(values: DataFrame, key: str = KEY) -> DataFrame:
     now = materialise(own.withColumn("attempt", F.lit(0)).mapInPandas(_drawn(key), schema), "pii-drawn")
     # earlier attempts keep what they have, so that a redraw never unsettles a settled value
     order = Window.partitionBy("surrogate").orderBy("attempt", "kind", "value")
-    for _ in range(MOST_ATTEMPTS):
+    while True:  # ends: pools grow with the attempts, and settled values stay
         ranked = now.withColumn("nth", F.row_number().over(order)).join(taken, F.col("surrogate") == F.col("taken"), "left")
         judged = ranked.select("kind", "value", "attempt", "surrogate", ((F.col("nth") > 1) | F.col("taken").isNotNull()).alias("clash"))
         judged = materialise(judged, "pii-judged")
@@ -293,7 +302,6 @@ def surrogate_table(values: DataFrame, key: str = KEY) -> DataFrame:
             return judged.select("kind", "value", "surrogate")
         again = judged.where("clash").withColumn("attempt", F.col("attempt") + 1).mapInPandas(_drawn(key), schema)
         now = materialise(judged.where("not clash").drop("clash").unionAll(again), "pii-drawn")
-    raise RuntimeError(f"surrogates still clash after {MOST_ATTEMPTS} attempts")
 
 
 def _replaced(columns: list[str], key: str):

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import os
+import string
 import sys
 import zlib
 
@@ -208,6 +210,14 @@ def test_clashing_surrogates_are_drawn_again(spark):
     assert len(got) == len(set(got)) == 300
 
 
+def test_surrogates_of_short_formats_do_not_run_out(spark):
+    quads = [("ip", ".".join(map(str, q))) for q in itertools.product(range(1, 10), repeat=4)]
+    mails = [("email", f"{a}@{b}.com") for a in string.ascii_lowercase for b in string.ascii_lowercase]
+    values = [*quads, *mails, ("secret", "________"), ("ssn", "123-45-6789")]
+    got = [r.surrogate for r in pii.surrogate_table(spark.createDataFrame(values, "kind string, value string")).collect()]
+    assert len(got) == len(set(got)) == len(values) and not {v for _, v in values} & set(got)
+
+
 def test_later_mentions_get_the_surrogate_of_the_name(spark):
     text = "Mr. John Q. Smith called +44 20 7946 0958. Later John Smith, then Smith, wrote."
     new = pii.replace_all(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
