@@ -2,11 +2,15 @@
 
 Symbols of a segment (a run of spaces with what follows it) merge in the order of
 an agenda: best score first, leftmost among equals. Every candidate that comes up
-is skipped for good if a keyed hash of (seed, variant, left, right, position) falls
-below the dropout rate; skipped candidates leave their symbols free for others, so
-different seeds and variants cut the same word differently, always into pieces of
-the vocabulary. A document's variant is a keyed hash of its doc_id into VARIANTS
-classes. At rate 0 the ids are those of the sentencepiece library.
+is skipped for good if a keyed hash of (seed, doc_id, place of the segment in the
+text, left, right, position in the segment) falls below the dropout rate; skipped
+candidates leave their symbols free for others. So each occurrence of a word is cut by
+its own draws, in every document, always into pieces of the vocabulary. At rate 0 the
+ids are those of the sentencepiece library.
+
+A worker keeps the undropped agenda of each distinct segment: its ids, and the
+candidates that come up. An occurrence at which none of those is skipped has these ids;
+all others go through their own agendas.
 
 Segments of up to WIDE symbols go through their agendas together, one candidate
 per segment and step, in numpy; longer ones and those with characters outside the
@@ -14,8 +18,7 @@ vocabulary (written as byte pieces) one by one. A literal U+2581, which the plai
 format cannot tell from a space, is written as bytes too, so decoding returns every
 text as it was.
 
-Defined cases: null text is empty and has no ids; null doc_id has a variant of its
-own; repeated rows are encoded each; an empty table gives no rows; further columns
+Defined cases: null text is empty and has no ids; null doc_ids have one key; repeated rows are encoded each; an empty table gives no rows; further columns
 are not read.
 """
 
@@ -32,11 +35,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.bpe import _SPACED as SPACED
-from stratum.llm.bpe import CHUNK_END, ID_TYPE, PIECE_BYTES, ChunkEncoder, irregular, words_and_lines
+from stratum.llm.bpe import CHUNK_END, ID_TYPE, PIECE_BYTES, ChunkEncoder, _Store, irregular, words_and_lines
 from stratum.llm.common import ship_package
 from stratum.llm.textnum import _GOLDEN, chunks, code_points, mix
 
-RATE, SEED, VARIANTS = 0.1, 20_240_601, 8
+RATE, SEED = 0.1, 20_240_601
 WIDE = 32
 _NONE = np.iinfo(np.int32).max
 _SEGMENT = re.compile(r" *[^ \n]+|\n| +")
@@ -48,9 +51,24 @@ def _base(seed: int, variant: int) -> int:
     return int(mix(np.array([(seed * 0x9E3779B97F4A7C15 + variant * 0xD6E8FEB86659FD93 + 1) & _WORD], dtype=np.uint64))[0])
 
 
-def _skips(base: np.ndarray, left: np.ndarray, right: np.ndarray, place: np.ndarray, rate: float) -> np.ndarray:
-    h = base ^ (left.astype(np.uint64) * np.uint64(_LEFT)) ^ (right.astype(np.uint64) * np.uint64(_RIGHT))
-    return (mix(h ^ (place.astype(np.uint64) * np.uint64(_PLACE))) >> np.uint64(11)).astype(np.float64) * 2.0**-53 < rate
+def _at(salt: np.ndarray, nth: np.ndarray) -> np.ndarray:
+    """Keys of the ``nth`` segments of texts with key ``salt``."""
+    return mix(salt + (nth.astype(np.uint64) + np.uint64(1)) * _GOLDEN)
+
+
+def _candidate(left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+    h = (left.astype(np.uint64) * np.uint64(_LEFT)) ^ (right.astype(np.uint64) * np.uint64(_RIGHT))
+    return h ^ (place.astype(np.uint64) * np.uint64(_PLACE))
+
+
+def _skips(base: np.ndarray, candidate: np.ndarray, rate: float) -> np.ndarray:
+    return (mix(base ^ candidate) >> np.uint64(11)).astype(np.float64) * 2.0**-53 < rate
+
+
+def _spread(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """begins[0], begins[0] + 1, ... (counts[0] of them), begins[1], ..."""
+    ends = np.cumsum(counts)
+    return np.repeat(begins - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Pieces(ChunkEncoder):
@@ -63,6 +81,7 @@ class Pieces(ChunkEncoder):
         from sentencepiece import SentencePieceProcessor
 
         super().__init__()
+        self._agendas = _Store()  # candidates of undropped agendas, 64 bits each
         self.rate = rate
         model = SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
@@ -99,8 +118,9 @@ class Pieces(ChunkEncoder):
         hit = (self.keys[slot] == key) & (left >= 0) & (right >= 0)
         return np.where(hit, self.ranks[slot], _NONE).astype(np.int32), self.to[slot]
 
-    def one(self, segment: str, base: int, rate: float) -> list[int]:
-        """The agenda for one segment, with byte pieces where they are needed."""
+    def one(self, segment: str, base: int, rate: float, met: list | None = None) -> list[int]:
+        """The agenda for one segment, with byte pieces where they are needed; ``met``
+        takes its candidates."""
         sym = [int(self.char[ord(c)]) for c in segment]
         end = len(sym)
         nxt, prv, agenda = list(range(1, end + 1)), list(range(-1, end - 1)), []
@@ -117,7 +137,10 @@ class Pieces(ChunkEncoder):
             j = nxt[i]
             if gone[i] or j >= end or sym[i] != a or sym[j] != b:
                 continue
-            if rate and _skips(*(np.array([x], dtype=np.uint64) for x in (base, a, b, i)), rate)[0]:
+            c = _candidate(*(np.array([x], dtype=np.uint64) for x in (a, b, i)))
+            if met is not None:
+                met.append(c[0])
+            if rate and _skips(np.array([base], dtype=np.uint64), c, rate)[0]:
                 continue
             sym[i], gone[j], nxt[i] = to, True, nxt[j]
             if nxt[i] < end:
@@ -130,8 +153,9 @@ class Pieces(ChunkEncoder):
                 out += [s] if s >= 0 else [self.byte_id[b] for b in segment[i].encode("utf-8", "surrogatepass")]
         return out
 
-    def _together(self, sym: np.ndarray, base: np.ndarray, rate: float) -> np.ndarray:
-        """Agendas of many segments: ``sym`` (segments, width), -1 beyond a segment."""
+    def _together(self, sym: np.ndarray, base: np.ndarray, rate: float, met: list | None = None) -> np.ndarray:
+        """Agendas of many segments: ``sym`` (segments, width), -1 beyond a segment.
+        ``met`` takes (rows, candidates) of every step."""
         n, width = sym.shape
         nxt = np.broadcast_to(np.arange(1, width + 1), (n, width)).copy()
         prv = np.broadcast_to(np.arange(-1, width - 1), (n, width)).copy()
@@ -148,7 +172,13 @@ class Pieces(ChunkEncoder):
             j = nxt[rows, at]
             a, b = sym[rows, at], sym[rows, j]
             rank_new = np.full(len(rows), _NONE, np.int32)
-            skip = _skips(base[rows], a, b, at, rate) if rate else np.zeros(len(rows), bool)
+            skip = np.zeros(len(rows), bool)
+            if rate or met is not None:
+                c = _candidate(a, b, at)
+                if met is not None:
+                    met.append((rows, c))
+                if rate:
+                    skip = _skips(base[rows], c, rate)
             rank[rows, at] = rank_new
             r, i, j = rows[~skip], at[~skip], j[~skip]
             sym[r, i] = to[r, i]
@@ -162,29 +192,110 @@ class Pieces(ChunkEncoder):
             after = p >= 0
             rank[r[after], p[after]], to[r[after], p[after]] = self._find(sym[r[after], p[after]], sym[r[after], i[after]])
 
-    def segments(self, segments: list[str], base: np.ndarray, rate: float) -> list[bytes]:
-        """Ids of each segment, ``base`` its key."""
+    def _cut(self, segments: list[str], which: np.ndarray, base: np.ndarray, rate: float,
+             met: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after another, how many each) of segments[which], ``base`` their keys.
+        ``met`` takes (occurrences, candidates) of every step."""
         cps, begins = code_points(segments)
         ids, size = self.char[cps], np.diff(begins) - 1
         ids[begins[1:] - 1] = -1
         known = np.add.reduceat((ids < 0).astype(np.int64), begins[:-1]) == 1 if len(segments) else np.zeros(0, bool)
-        out: list[bytes] = [b""] * len(segments)
-        done = 0
+        counts = np.zeros(len(which), np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        done, long, plain = 0, size[which], known[which]
         for width in (4, 8, 12, 16, WIDE):
-            pick = np.flatnonzero(known & (size > done) & (size <= width))
+            pick = np.flatnonzero(plain & (long > done) & (long <= width))
             done = width
             if not len(pick):
                 continue
-            grid = begins[pick][:, None] + np.minimum(np.arange(width), size[pick][:, None])
-            sym = self._together(ids[grid], base[pick], rate)
+            grid = begins[which[pick]][:, None] + np.minimum(np.arange(width), long[pick][:, None])
+            own = None if met is None else []
+            sym = self._together(ids[grid], base[pick], rate, own)
+            if met is not None:
+                met += [(pick[rows], c) for rows, c in own]
             live = sym >= 0
-            flat, ends = sym[live].astype(ID_TYPE).tobytes(), np.cumsum(live.sum(axis=1)) * ID_TYPE.itemsize
-            at = 0
-            for s, e in zip(pick.tolist(), ends.tolist()):
-                out[s], at = flat[at:e], e
-        for s in np.flatnonzero(~known | (size > WIDE)).tolist():
-            out[s] = np.array(self.one(segments[s], int(base[s]), rate), dtype=ID_TYPE).tobytes()
-        return out
+            counts[pick] = live.sum(axis=1)
+            parts.append((pick, sym[live].astype(ID_TYPE)))
+        for s in np.flatnonzero(~plain | (long > WIDE)).tolist():
+            own = None if met is None else []
+            new = np.array(self.one(segments[which[s]], int(base[s]), rate, own), dtype=ID_TYPE)
+            if own:
+                met.append((np.full(len(own), s), np.array(own, dtype=np.uint64)))
+            counts[s] = len(new)
+            parts.append((np.array([s]), new))
+        out, starts = np.zeros(int(counts.sum()), ID_TYPE), np.cumsum(counts) - counts
+        for pick, new in parts:
+            out[_spread(starts[pick], counts[pick])] = new
+        return out, counts
+
+    def segments(self, segments: list[str], base: np.ndarray, rate: float) -> list[bytes]:
+        """Ids of each segment, ``base`` its key."""
+        ids, counts = self._cut(segments, np.arange(len(segments)), base, rate)
+        ends = np.cumsum(counts)
+        return [ids[a:b].tobytes() for a, b in zip((ends - counts).tolist(), ends.tolist())]
+
+    def batch(self, piece: list[bytes], salts: np.ndarray | None = None) -> list[bytes]:
+        """Ids of each text of ``piece`` (UTF-8 bytes), ``salts`` the texts' keys."""
+        if salts is None:
+            salts = np.zeros(len(piece), np.uint64)
+        begins = np.cumsum([0] + [len(b) + 1 for b in piece])
+        buf = np.frombuffer(self.GAP.join(piece) + self.GAP, dtype=np.uint8)
+        gap = begins[1:] - 1
+        odd = np.unique(np.searchsorted(begins, np.flatnonzero(self._odd(buf, begins, gap)), side="right") - 1)
+        if len(odd):
+            alone = {i: self.ids(piece[i].decode("utf-8", "surrogatepass"), int(salts[i])) for i in odd.tolist()}
+            rest = self.batch([b"" if i in alone else b for i, b in enumerate(piece)], salts)
+            return [alone.get(i, r) for i, r in enumerate(rest)]
+        first, keys = self._chunks(buf, gap)
+        if not len(first):
+            return [b""] * len(piece)
+        text = np.searchsorted(begins, first, side="right") - 1
+        base = _at(salts[text], np.arange(len(first)) - np.searchsorted(first, begins)[text])
+        distinct, one, which = np.unique(keys, return_index=True, return_inverse=True)
+        raw = buf.tobytes()
+        absent = self._store.missing(distinct)
+        self._agendas.missing(distinct)  # starts anew together with the ids
+        if len(absent):
+            self._learn(distinct[absent], self._strings(raw, first[one[absent]].tolist()))
+        at, n = self._store.take(distinct)
+        counts = n[which]
+        dropped = self._touched(distinct, which, base) if self.rate else np.zeros(len(which), bool)
+        hit = np.flatnonzero(dropped)
+        new = np.zeros(0, ID_TYPE)
+        if len(hit):
+            own, place = np.unique(which[hit], return_inverse=True)
+            new, counts[hit] = self._cut(self._strings(raw, first[one[own]].tolist()), place, base[hit], self.rate)
+        mine = np.repeat(dropped, counts)
+        ids = np.zeros(len(mine), ID_TYPE)
+        ids[mine] = new
+        ids[~mine] = self._store.pool[_spread(at[which[~dropped]], counts[~dropped])]
+        ids, ends = ids.tobytes(), np.cumsum(counts)
+        cut = np.concatenate([[0], ends])[np.searchsorted(first, begins)] * ID_TYPE.itemsize
+        return [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
+
+    def _learn(self, keys: np.ndarray, segments: list[str]) -> None:
+        """Keeps the undropped agendas of new segments."""
+        met: list[tuple[np.ndarray, np.ndarray]] = []
+        every = np.arange(len(segments))
+        ids, counts = self._cut(segments, every, np.zeros(len(segments), np.uint64), 0.0, met)
+        ends = np.cumsum(counts)
+        self._store.add(keys, [ids[a:b].tobytes() for a, b in zip((ends - counts).tolist(), ends.tolist())])
+        rows = np.concatenate([np.zeros(0, np.int64), *[r for r, _ in met]])
+        found = np.concatenate([np.zeros(0, np.uint64), *[c for _, c in met]])[np.argsort(rows, kind="stable")]
+        ends = np.cumsum(np.bincount(rows, minlength=len(segments)))
+        begins = np.concatenate([[0], ends[:-1]])
+        self._agendas.add(keys, [found[a:b].tobytes() for a, b in zip(begins.tolist(), ends.tolist())])
+
+    def _touched(self, distinct: np.ndarray, which: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """At which occurrences a candidate of the undropped agenda is skipped."""
+        at, n = self._agendas.take(distinct)
+        wide = 8 // ID_TYPE.itemsize
+        n = n // wide
+        own = self._agendas.pool[_spread(at, n * wide)].view(np.uint64)
+        begins = np.cumsum(n) - n
+        counts = n[which]
+        skip = _skips(np.repeat(base, counts), own[_spread(begins[which], counts)], self.rate)
+        return np.bincount(np.repeat(np.arange(len(which)), counts)[skip], minlength=len(which)) > 0
 
     def _odd(self, buf: np.ndarray, begins: np.ndarray, gap: np.ndarray) -> np.ndarray:
         return irregular(buf, gap)
@@ -194,7 +305,7 @@ class Pieces(ChunkEncoder):
         opens = (first == 0) | (buf[np.maximum(first - 1, 0)] == 0x0B)  # a text begins as if after a space
         return first, np.where(opens, keys ^ SPACED, keys)
 
-    def _ask_all(self, raw: bytes, starts: list[int], salts: np.ndarray) -> list[bytes]:
+    def _strings(self, raw: bytes, starts: list[int]) -> list[str]:
         segments = []
         for at in starts:
             if raw[at] == 0x0A:
@@ -202,12 +313,13 @@ class Pieces(ChunkEncoder):
                 continue
             spaced = " " if at == 0 or raw[at - 1] in (0x20, 0x0B) else ""
             segments.append(spaced + raw[at:CHUNK_END.search(raw, at).start()].decode("utf-8", "surrogatepass"))
-        return self.segments(segments, salts, self.rate)
+        return segments
 
     def ids(self, text: str, salt: int = 0) -> bytes:
         """Ids of one text of any white space."""
         own = _SEGMENT.findall(" " + text) if text else []
-        return b"".join(self.segments(own, np.full(len(own), salt, dtype=np.uint64), self.rate))
+        every = np.arange(len(own))
+        return self._cut(own, every, _at(np.full(len(own), salt, dtype=np.uint64), every), self.rate)[0].tobytes()
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join([self.raw[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass")
@@ -217,9 +329,8 @@ class Pieces(ChunkEncoder):
 def _encode(path: str, seed: int, rate: float):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = Pieces.get(path, rate)
-        bases = np.array([_base(seed, v) for v in range(VARIANTS)], dtype=np.uint64)
         for f in frames:
-            salts = bases[f["variant"].to_numpy()]
+            salts = mix(f["key"].to_numpy().astype(np.int64).view(np.uint64) ^ np.uint64(_base(seed, 0)))
             for start, piece in chunks(f["text"].tolist(), PIECE_BYTES):
                 out = f.iloc[start:start + len(piece)][["doc_id", "text_crc32"]].copy()
                 out["ids"] = pieces.batch(piece, salts[start:start + len(piece)])
@@ -234,7 +345,7 @@ def encode(documents: DataFrame, path: str, seed: int = SEED, rate: float = RATE
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-        F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(VARIANTS)).cast("int").alias("variant"),
+        F.xxhash64(F.lit(seed), "doc_id").alias("key"),
         F.crc32(text.cast("binary")).alias("text_crc32"))
     return rows.mapInPandas(_encode(path, seed, rate), "doc_id long, text_crc32 long, ids binary")
 

@@ -182,3 +182,19 @@ def test_phones_of_other_countries(phone):
     assert _replaced_spans(f"call {phone}, please") == [("phone", phone)]
     new = pii.surrogate("phone", phone)
     assert new != phone and len(new) == len(phone) and _replaced_spans(f"call {new}, please") == [("phone", new)]
+
+
+def test_every_occurrence_is_cut_by_its_own_draws():
+    own = spbpe.Pieces(public_tokenizers.path("piece_bpe_32k.model"), 0.3)
+    pieces = [b for _, p in textnum.chunks(TEXTS) for b in p]
+    salts = np.arange(len(pieces), dtype=np.uint64) * np.uint64(977)
+    for _ in range(2):  # the second time all agendas are kept
+        for text, salt, got in zip(TEXTS, salts, own.batch(pieces, salts)):
+            segments = spbpe._SEGMENT.findall(" " + text) if text else []
+            keys = spbpe._at(np.full(len(segments), salt, np.uint64), np.arange(len(segments)))
+            want = [i for s, k in zip(segments, keys.tolist()) for i in own.one(s, k, 0.3)]
+            assert np.frombuffer(got, bpe.ID_TYPE).tolist() == want
+    words = own.batch([b"international " * 499 + b"international"] + [b"international"] * 500, np.arange(501, dtype=np.uint64))
+    assert len({*words[1:]}) > 16  # over documents
+    cuts = {*"/".join(own.raw[i].decode() for i in np.frombuffer(words[0], bpe.ID_TYPE)).split(" ")}
+    assert len(cuts) > 16  # inside one document
