@@ -5,15 +5,16 @@ returns a DataFrame; all but the last return the columns of ``documents``. The
 runner writes every stage as Parquet and reads it back as the next one's docs.
 
 * toxicity drops documents with a score of 0.7 or more;
-* language drops documents whose language cannot be told (no letter, null text);
+* language drops documents that no learned language explains by its phrase rate (no
+  letter and null text among them), none if there is no labelled text;
 * near_duplicates keeps one document of each class, the least doc_id;
 * pii replaces detected entities by surrogates;
 * packing returns the pieces of the packed sequences.
 
 Models are fitted on the labelled rows of ``sf_dir`` (bounded samples, as the
 operators state); everything else covers the stage's own input. SQL can express
-none of the trained stages, so there is no oracle; tests compare the run with the
-operators' brute-force forms.
+none of the trained stages, so there is no oracle; a test compares a run without toxicity
+labels with brute-force forms of the other stages.
 """
 
 from __future__ import annotations

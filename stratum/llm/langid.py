@@ -12,9 +12,16 @@ same number of characters, as far as its text goes, and phrases are normalised b
 it. Workers build the automata from those samples; whole texts are parsed in lanes
 of LANE characters, all lanes of a batch step by step together.
 
+``keep_identified`` drops what no learned language explains. Breaks (phrases without the
+one that opens each lane) a character of a text in the language stay far below those of
+the same letters in random order. So half of each sample is parsed by the other half, as
+it is and shuffled; a language explains texts up to EXPLAINED of the shuffled rate, or
+half way between both rates where that is more (up to the shuffled rate itself where the
+sample has fewer than LEAST characters), and two standard deviations for short texts.
+
 Normalised text: lower-case letters, every run of other characters one space.
 Defined cases: null text, or text without a letter, is ``und`` with score 0; with no
-labelled text at all every document is ``und``; null doc_id is not held out and
+labelled text at all every document is ``und``, and ``keep_identified`` keeps all; null doc_id is not held out and
 never learned from; repeated rows are judged each; an empty table gives no rows;
 further columns are not read.
 """
@@ -38,6 +45,7 @@ MOST_DOCS, CHARS, MOST_CHARS = 400, 30_000, 300_000
 SYMBOLS = 64  # of an automaton: space, letters, and one for all rarer letters
 LANE, BATCH_CHARS = 256, 3 << 19
 SHARPNESS = 8
+EXPLAINED, LEAST = 0.75, 2_000
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
@@ -180,7 +188,26 @@ def fit(documents: DataFrame, learn: Column) -> dict[str, str]:
     return {lang: s[:size] for lang, s in samples.items()}
 
 
-def _predict(samples: dict[str, str], passed: list[str]):
+def _breaks(phrases: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Breaks a character, from phrases of texts of ``size`` characters."""
+    return (phrases - (-(-size // LANE))[:, None]) / np.maximum(size, 1)[:, None]
+
+
+def limits(samples: dict[str, str]) -> dict[str, float]:
+    """Breaks a character up to which each language explains a text."""
+    model = Model({lang: s[:len(s) // 2] for lang, s in samples.items()})
+    out = {}
+    for k, lang in enumerate(model.names):
+        s = samples[lang]
+        codes, begins = normalised([s[len(s) // 2:]], model.alphabet)
+        mixed = np.random.default_rng(0).permutation(codes)
+        own, noise = (float(_breaks(model.phrases(c, begins), np.diff(begins))[0, k]) for c in (codes, mixed))
+        out[lang] = max((own + noise) / 2, noise * (EXPLAINED if len(s) >= LEAST else 1))
+    return out
+
+
+def _predict(samples: dict[str, str], passed: list[str], most: dict[str, float] | None = None):
+    """With ``most`` (limits), texts that no language explains are UNKNOWN."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = Model.get(samples)
         names = np.array([*model.names, UNKNOWN], dtype=object)
@@ -190,12 +217,17 @@ def _predict(samples: dict[str, str], passed: list[str]):
                 size = np.diff(begins)
                 out = f.iloc[start:start + len(batch)][passed].copy()
                 if model.names:
-                    rate = model.phrases(codes, begins) / np.maximum(size, 1)[:, None]
+                    phrases = model.phrases(codes, begins)
+                    rate = phrases / np.maximum(size, 1)[:, None]
                     best = rate.argmin(axis=1)
                     least = rate.min(axis=1)[:, None]
                     with np.errstate(invalid="ignore", divide="ignore"):
                         score = 1 / ((least / rate) ** SHARPNESS).sum(axis=1)
                     seen = size > 0
+                    if most is not None:
+                        limit = np.array([most[x] for x in model.names])
+                        limit = limit + 2 * np.sqrt(limit * np.maximum(1 - limit, 0) / np.maximum(size, 1)[:, None])
+                        seen &= (_breaks(phrases, size) <= limit).any(axis=1)
                     out["lang_pred"] = names[np.where(seen, best, len(model.names))]
                     out["score"] = np.where(seen, score, 0.0)
                 else:
@@ -213,9 +245,12 @@ def identify(documents: DataFrame, samples: dict[str, str]) -> DataFrame:
 
 
 def keep_identified(documents: DataFrame, samples: dict[str, str]) -> DataFrame:
-    """``documents`` without those whose language cannot be told, columns as they were."""
+    """``documents`` without those that no learned language explains, columns as they
+    were; all of them if nothing was learned."""
+    if not samples:
+        return documents
     ship_package(documents.sparkSession)
     kept = documents.columns
-    named = documents.mapInPandas(_predict(samples, kept), ", ".join(
+    named = documents.mapInPandas(_predict(samples, kept, limits(samples)), ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields) + ", lang_pred string, score double")
     return named.where(F.col("lang_pred") != UNKNOWN).select(*kept)

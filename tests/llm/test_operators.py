@@ -250,3 +250,43 @@ def test_pipeline_keeps_columns_and_clean_documents(spark):
     kept = {r.doc_id for r in docs.collect()}
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).collect()
     assert {p.doc_id for p in pieces} == kept and 100 < len(kept) < 200
+
+
+def test_language_stage_drops_what_no_language_explains(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = langid.held_out(F.col("doc_id"), 4, 2)
+    samples = langid.fit(docs, ~held)
+    clean = docs.where(held & F.col("text").rlike("[A-Za-z]"))
+    kept = {r.doc_id for r in langid.keep_identified(clean, samples).collect()}
+    want = {r.doc_id for r in clean.collect()}
+    assert len(want) > 200 and len(want - kept) <= 0.01 * len(want)
+    rng = np.random.default_rng(1)
+    odd = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz     "), 600)), "Это русский текст и ничего больше. " * 8, "漢字仮名交文章 " * 20, "1234 --", None]
+    odd = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    assert langid.keep_identified(odd, samples).count() == 0
+    assert langid.keep_identified(odd, {}).count() == 5
+
+
+def test_pipeline_run_equals_brute_force(spark):
+    rows = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where(F.col("text").isNotNull()).orderBy("doc_id").limit(60).collect()
+    texts = {r.doc_id: r.text for r in rows}
+    plain = next(i for i, t in texts.items() if not pii.find(t) and len(t) > 500)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    odd = [(10_001, "xqzj vkwq " * 3 + "".join(np.random.default_rng(2).choice(list("qxzjkvw "), 500))), (10_002, "12 34"), (10_003, None),
+           (10_004, texts[plain]), (10_005, texts[plain] + " end"), (10_006, texts[plain] + " Mr John Q. Smith, a.b@c.example.com, met Smith.")]
+    fixture = scratch_path(spark, "fixture")
+    spark.createDataFrame([tuple(r) for r in rows] + [(i, t, None, None, None) for i, t in odd], schema).write.parquet(f"{fixture}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{fixture}/labels.parquet")
+    pieces = corpus_pipeline.run(spark, fixture).collect()
+    classes = _brute_classes({**texts, **{i: t for i, t in odd if i > 10_003}})
+    assert {p.doc_id for p in pieces} == set(classes.values())
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BYTE)
+    library.encode_special_tokens = True
+    for p in pieces:
+        if not pii.find(texts.get(p.doc_id, "")):
+            assert p.doc_tokens in (len(library.encode(texts[p.doc_id], add_special_tokens=False).ids) + k for k in (0, 1))
+    total = {p.doc_id: p.doc_tokens for p in pieces}
+    for i, n in total.items():
+        assert sum(p.length for p in pieces if p.doc_id == i) == n
