@@ -7,7 +7,9 @@ wins, ties going to the first by name.
 
 Fitting takes a bounded sample: of the labelled documents of a language the
 MOST_DOCS first by hash of doc_id, as far as CHARS characters of normalised text
-(less where very many languages share MOST_CHARS). Every sampled language gets the
+(less where very many languages share MOST_CHARS). A repeated doc_id counts once a
+language, with its least text. Texts are normalised and cut by workers, so the driver
+gets the samples alone. Every sampled language gets the
 same number of characters, as far as its text goes, and phrases are normalised by
 it. Workers build the automata from those samples; whole texts are parsed in lanes
 of LANE characters, all lanes of a batch step by step together.
@@ -37,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratum.llm.common import ship_package
+from stratum.llm.common import materialise, ship_package
 from stratum.llm.textnum import Letters, code_points, text_batches
 
 UNKNOWN = "und"
@@ -163,27 +165,45 @@ def _known(codes: list[int]) -> np.ndarray:
     return table
 
 
+def _cut(limit: int):
+    """Normalised texts of ``limit`` characters at most."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for start, batch in text_batches(f["text"].tolist(), BATCH_CHARS):
+                codes, begins = normalised(batch)
+                out = f.iloc[start:start + len(batch)][["lang", "rank"]].copy()
+                out["sample"] = ["".join(" " if c == 0 else chr(c) for c in codes[a:min(a + limit, b)].tolist())
+                                 for a, b in zip(begins[:-1], begins[1:])]
+                yield out
+
+    return run
+
+
 def fit(documents: DataFrame, learn: Column) -> dict[str, str]:
     """Normalised sample of every language among the rows that ``learn`` allows."""
     rows = documents.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+    spark = documents.sparkSession
+    ship_package(spark)
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    first = rows.select("lang", "doc_id", F.length("text").alias("n")).withColumn(
-        "rank", F.row_number().over(by_hash)).where(F.col("rank") <= MOST_DOCS)
-    before = F.sum("n").over(by_hash.rowsBetween(Window.unboundedPreceding, -1))
-    chosen = first.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < 2 * CHARS).select("lang", "doc_id")
-    ids = [(r.lang, r.doc_id) for r in chosen.collect()]  # at most MOST_DOCS a language
-    if not ids:
+    chosen = materialise(rows.select("lang", "doc_id").distinct().withColumn(
+        "rank", F.row_number().over(by_hash)).where(F.col("rank") <= MOST_DOCS), "lang-ids")
+    languages = chosen.select("lang").distinct().count()
+    if not languages:
         return {}
-    texts = rows.where(F.col("doc_id").isin([i for _, i in ids])).select("lang", "doc_id", "text").collect()
-    found: dict[str, list] = {}
-    for r in sorted(texts, key=lambda r: (r.doc_id, r.text)):
-        found.setdefault(r.lang, []).append(r.text)
-    limit = min(CHARS, MOST_CHARS // len(found))
-    samples = {}
-    for lang, own in found.items():
-        codes, _ = normalised(own)
-        samples[lang] = "".join(" " if c == 0 else chr(c) for c in codes.tolist())
+    limit = max(1, min(CHARS, MOST_CHARS // languages))
+    texts = rows.join(chosen, ["lang", "doc_id"]).groupBy("lang", "rank").agg(F.min("text").alias("text"))
+    cut = texts.mapInPandas(_cut(limit), "lang string, rank int, sample string")
+    before = F.coalesce(F.sum(F.length("sample")).over(
+        Window.partitionBy("lang").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    used = cut.withColumn("left", (limit - before).cast("int")).where(F.col("left") > 0).select(
+        "lang", "rank", F.substring("sample", F.lit(1), F.col("left")).alias("sample"))
+    samples: dict[str, str] = {}
+    for r in sorted(used.collect(), key=lambda r: r["rank"]):  # at most MOST_CHARS characters
+        samples[r.lang] = samples.get(r.lang, "") + r.sample
     samples = {lang: s for lang, s in samples.items() if s}
+    if not samples:
+        return {}
     size = max(limit // 8, min([limit, *map(len, samples.values())]))
     return {lang: s[:size] for lang, s in samples.items()}
 

@@ -290,3 +290,24 @@ def test_pipeline_run_equals_brute_force(spark):
     total = {p.doc_id: p.doc_tokens for p in pieces}
     for i, n in total.items():
         assert sum(p.length for p in pieces if p.doc_id == i) == n
+
+
+def test_language_samples_are_cut_before_they_reach_the_driver(spark, monkeypatch):
+    rows = [(7, f"same id {chr(97 + k % 26)} " * 2_000, "en") for k in range(200)] + [(k, f"le texte numero {k} " * 3, "fr") for k in range(50)]
+    rows += [(1_000 + k, "other words of the language ", "en") for k in range(30)] + [(2_000, "1 2 3", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    taken, collect = [], type(docs).collect
+
+    def counted(df):
+        out = collect(df)
+        taken.append(sum(len(v) for r in out for v in r if isinstance(v, str)))
+        return out
+
+    monkeypatch.setattr(type(docs), "collect", counted)
+    samples = langid.fit(docs, F.lit(True))
+    assert sum(taken) <= 3 * langid.CHARS + 100 * 2  # language names beside the samples
+    assert set(samples) == {"en", "fr"} and all(0 < len(s) <= langid.CHARS for s in samples.values())
+    assert "other words" in langid.fit(docs.where("doc_id != 7"), F.lit(True))["en"]
+    many = spark.createDataFrame([(7, "same id ", "en")] * 500 + rows[250:280], "doc_id long, text string, lang string")
+    own = langid.fit(many, F.lit(True))["en"]
+    assert own.count("same id") == 1 and own.count("other words") == 30
