@@ -2,11 +2,14 @@
 
 A turn is rendered as ``<|im_start|>{role}\\n{text}<|im_end|>\\n``. The parser is
 deterministic: split at ``<|im_end|>\\n``, take the role up to the first line
-feed, undo one level of escaping. A piece is first rendered as it is, reparsed
-and compared with its source; a piece that does not come back is escaped, which
-adds one backslash inside every ``<|`` (after any backslashes already there).
+feed, undo one level of escaping. A fixed test stands for rendering and reparsing each
+piece before it is escaped: a piece stays as it is if it holds no ``<|`` and no line
+feed (roles) and undoing an escape does not change it. That is enough to come back;
+harmless pieces such as ``<|x|>`` are escaped too, as the query's SQL counts them. All
+others are escaped, which adds one backslash inside every ``<|`` (after any backslashes
+already there).
 An escaped piece holds no ``<|`` at all and always comes back, so one round of
-escaping reaches the fixed point; ``round_trip`` compares the parsed
+escaping reaches the fixed point and no loop is needed; ``round_trip`` compares the parsed
 conversation with its source once more.
 
 Defined cases: null text or role is the empty string; rows are ordered by turn
