@@ -11,6 +11,7 @@ topk       exact top-k with block-at-a-time pruning
 quality    threshold table compiled into one projection (native)
 neardup    ProbMinHash, banding and verification
 pii        detected entities replaced by keyed surrogates
+divergence audit of sources by partial Arrow counts
 ========== ============================================================
 
 Nothing else in the library imports this subpackage.

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import chat, langid, neardup, packing, pii, quality, spbpe, tokenfile, topk, toxicity
+from stratum.llm import chat, divergence, langid, neardup, packing, pii, quality, spbpe, tokenfile, topk, toxicity
 from stratum.llm.common import read_table, ship_package
 from stratum.scratch import scratch_path
 
@@ -85,9 +85,14 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", total, *counts)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_merge_dropout, op3_token_blocks, op4_curve_packing, op5_cross_parsing, op6_toxicity_trees,
-    op7_block_topk, op8_quality_rules, op9_near_duplicates, op10_surrogates)}
+    op7_block_topk, op8_quality_rules, op9_near_duplicates, op10_surrogates,
+    op11_source_divergence)}
 
 _CHAT_SQL = r"""
 WITH turns AS (
@@ -150,4 +155,45 @@ SELECT *, NOT base_failed AND NOT (
     OR n_letters < 0.6 * word_chars) AS kept
 FROM b""".replace("{stop}", ", ".join(f"'{w}'" for w in quality.STOP_WORDS))
 
-ORACLE = {"op1_chat_format": _CHAT_SQL, "op7_block_topk": _TOPK_SQL, "op8_quality_rules": _QUALITY_SQL}
+_DIVERGENCE_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), t AS (
+  SELECT lang, source, row, unnest(w) AS term FROM d
+), kept AS (
+  SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 3
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term
+), size AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), dense AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+    sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total, size.v
+  FROM g JOIN kept USING (lang) JOIN size USING (lang) LEFT JOIN c USING (lang, source, term)
+), p AS (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 1)) // (total + v)::HUGEINT AS p FROM dense
+), l AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY lang) + v)::HUGEINT AS q
+  FROM (SELECT lang, term, any_value(v) AS v, sum(n) AS n FROM dense GROUP BY lang, term)
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+  ) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), o AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pair
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN l USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM o)
+WHERE part = 'pair' OR rank <= 200"""
+
+ORACLE = {"op1_chat_format": _CHAT_SQL, "op7_block_topk": _TOPK_SQL, "op8_quality_rules": _QUALITY_SQL,
+          "op11_source_divergence": _DIVERGENCE_SQL}
