@@ -12,6 +12,7 @@ quality    threshold table compiled into one projection (native)
 neardup    ProbMinHash, banding and verification
 pii        detected entities replaced by keyed surrogates
 divergence audit of sources by partial Arrow counts
+kneserney  Kneser-Ney model in mapped sorted arrays
 ========== ============================================================
 
 Nothing else in the library imports this subpackage.

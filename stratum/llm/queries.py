@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import chat, divergence, langid, neardup, packing, pii, quality, spbpe, tokenfile, topk, toxicity
+from stratum.llm import chat, divergence, kneserney, langid, neardup, packing, pii, quality, spbpe, tokenfile, topk, toxicity
 from stratum.llm.common import read_table, ship_package
 from stratum.scratch import scratch_path
 
@@ -89,10 +89,19 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read_table(spark, sf_dir, "documents"))
 
 
+def op12_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = langid.held_out(F.col("doc_id"), 10, 0)
+    model = kneserney.fit(docs, ~held_out)
+    scored = kneserney.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+                         F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_merge_dropout, op3_token_blocks, op4_curve_packing, op5_cross_parsing, op6_toxicity_trees,
     op7_block_topk, op8_quality_rules, op9_near_duplicates, op10_surrogates,
-    op11_source_divergence)}
+    op11_source_divergence, op12_kneser_ney)}
 
 _CHAT_SQL = r"""
 WITH turns AS (
