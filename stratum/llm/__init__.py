@@ -13,6 +13,7 @@ neardup    ProbMinHash, banding and verification
 pii        detected entities replaced by keyed surrogates
 divergence audit of sources by partial Arrow counts
 kneserney  Kneser-Ney model in mapped sorted arrays
+hardneg    hard negatives by segment summaries
 ========== ============================================================
 
 Nothing else in the library imports this subpackage.

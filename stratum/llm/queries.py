@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import chat, divergence, kneserney, langid, neardup, packing, pii, quality, spbpe, tokenfile, topk, toxicity
+from stratum.llm import chat, divergence, hardneg, kneserney, langid, neardup, packing, pii, quality, spbpe, tokenfile, topk, toxicity
 from stratum.llm.common import read_table, ship_package
 from stratum.scratch import scratch_path
 
@@ -98,10 +98,15 @@ def op12_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(hardneg.weighted(read_table(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 100 == 0))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_merge_dropout, op3_token_blocks, op4_curve_packing, op5_cross_parsing, op6_toxicity_trees,
     op7_block_topk, op8_quality_rules, op9_near_duplicates, op10_surrogates,
-    op11_source_divergence, op12_kneser_ney)}
+    op11_source_divergence, op12_kneser_ney, op13_hard_negatives)}
 
 _CHAT_SQL = r"""
 WITH turns AS (
@@ -204,5 +209,23 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM o)
 WHERE part = 'pair' OR rank <= 200"""
 
+_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.row, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.w, c.w) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.row <> c.row AND len(a.w) = len(c.w)
+), p AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS place FROM s WHERE same) WHERE place <= 5
+), n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.row, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON p.row = s.row AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5"""
+
 ORACLE = {"op1_chat_format": _CHAT_SQL, "op7_block_topk": _TOPK_SQL, "op8_quality_rules": _QUALITY_SQL,
-          "op11_source_divergence": _DIVERGENCE_SQL}
+          "op11_source_divergence": _DIVERGENCE_SQL, "op13_hard_negatives": _NEGATIVES_SQL}
