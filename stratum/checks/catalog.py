@@ -22,11 +22,13 @@ from stratum.operators.batches import batch_at, batch_max, latest_batch, pin_lat
 from stratum.operators.contract import SILVER_8, SILVER_8_CAPS, SILVER_9, clean_deposits, project_to
 from stratum.operators.dedupe import dedupe_any
 from stratum.operators.rules import deposit_rules, reject_all, reject_distinct, split, validate
+from stratum.operators.sets import except_rows
 from stratum.operators.stamps import stamp_ingestion, stamp_source_file
 from stratum.plans.flows import (
     dedupe_by_account,
     ingest_declared,
     ingest_strings,
+    pinned_batch,
     refine_append,
     refine_append_plan,
     refine_replace,
@@ -35,7 +37,8 @@ from stratum.plans.flows import (
 )
 from stratum.scratch import scratch_path, scratch_table_name
 from stratum.sinks.files import write_csv, write_text
-from stratum.sinks.tables import append_table, overwrite_table, write_split
+from stratum.sinks.ledger import Ledger
+from stratum.sinks.tables import TargetMismatchError, append_table, check_target, overwrite_table, write_split
 from stratum.sources.derived import (
     BATCH_PERIODS,
     BATCH_STAMPS,
@@ -783,6 +786,166 @@ def stream_land(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- runs that fail or come again
+_FIRST_BATCH = f"ingestion_timestamp = TIMESTAMP '{BATCH_STAMPS[0]}'"
+_FIRST_TWO = f"ingestion_timestamp <= TIMESTAMP '{BATCH_STAMPS[1]}'"
+
+
+@register(
+    "overwrite_survives_failure",
+    f"{q.dep_ctes()}, c AS ({q.cleaned('dep', q.DMY, 15)}) SELECT {q.SILVER_8} FROM c WHERE {_FIRST_BATCH}",
+)
+def overwrite_survives_failure(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-4 / FLOW-3: the first month is written; the second month's overwrite fails
+    at rows it meets midway, so the table still holds the first month."""
+    name, path = scratch_table_name("silver"), scratch_path(spark, "silver")
+    first, second, _ = _batches(deposits_from_orders(spark, sf))
+    overwrite_table(project_to(clean_deposits(first), SILVER_8), name, partition_by="deposit_date", path=path)
+    fails = F.when(F.col("branch_id") == "7", F.raise_error(F.lit("fails midway"))).otherwise(F.col("branch_id"))
+    broken = project_to(clean_deposits(second.withColumn("branch_id", fails)), SILVER_8)
+    try:
+        overwrite_table(broken, name, partition_by="deposit_date", path=path)
+    except Exception as e:
+        if "fails midway" not in str(e):
+            raise
+    return read_table(spark, name).select(*[t for _, _, t in SILVER_8])
+
+
+@register(
+    "quarantine_rerun",
+    f"{q.dep_ctes()} SELECT *, CAST(ingestion_timestamp AS VARCHAR) AS batch_key FROM dep "
+    f"WHERE NOT coalesce({q.rules_ok()}, FALSE)",
+)
+def quarantine_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-6 / FLOW-4 with its quarantine by batch: every month is refined twice, each
+    rejected row is there once."""
+    raw, raw_path = scratch_table_name("raw"), scratch_path(spark, "raw")
+    names = {t: scratch_table_name(t) for t in ("valid", "rejected", "silver")}
+    paths = {t: scratch_path(spark, t) for t in names}
+    for part in _batches(deposits_from_orders(spark, sf)):
+        append_table(part, raw, path=raw_path)
+        for _ in range(2):
+            refine_validated(spark, raw, names["valid"], names["rejected"], names["silver"], rejects="all",
+                             dedupe="latest", paths=paths, quarantine="batch")
+    return read_table(spark, names["rejected"])
+
+
+@register(
+    "append_once",
+    f"{q.dep_ctes(q.ISO)}, c AS ({q.cleaned('dep', q.ISO, 18, customer=True)}) SELECT {q.SILVER_9} FROM c",
+)
+def append_once(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-5 / FLOW-5 under a run ledger: every month is run twice, each row is there once."""
+    validated, validated_path = scratch_table_name("validated"), scratch_path(spark, "validated")
+    name, path = scratch_table_name("silver9"), scratch_path(spark, "silver9")
+    ledger = Ledger(spark, scratch_table_name("ledger"), scratch_path(spark, "ledger"))
+    for part in _batches(deposits_iso(spark, sf)):
+        append_table(part, validated, partition_by="ingestion_timestamp", path=validated_path)
+        for _ in range(2):
+            refine_append(spark, validated, name, path=path, ledger=ledger, check=True)
+    return read_table(spark, name).select(*[t for _, _, t in SILVER_9])
+
+
+@register("land_once", f"{q.dep_ctes()} SELECT {q.nulled_text()} FROM dep WHERE {_FIRST_TWO}")
+def land_once(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-1 / FLOW-2 under a file ledger: two monthly drops, the first handed in twice."""
+    dep = deposits_from_orders(spark, sf, period=True).select(*DEPOSIT_COLUMNS, "mon_yyyy")
+    root = _drop_csv(spark, dep, "monthly", partition_by="mon_yyyy")
+    name, path = scratch_table_name("landed"), scratch_path(spark, "landed")
+    ledger = Ledger(spark, scratch_table_name("ledger"), scratch_path(spark, "ledger"))
+    for mon in (BATCH_PERIODS[0], BATCH_PERIODS[0], BATCH_PERIODS[1]):
+        ingest_strings(spark, period_path(root + "/mon_yyyy={mon_yyyy}", mon_yyyy=mon), name, path=path, ledger=ledger)
+    return read_table(spark, name).select(*DEPOSIT_COLUMNS)
+
+
+@register("latest_partition", f"{q.dep_ctes()} SELECT * FROM batch")
+def latest_partition(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG-1 / BAT-1 from the catalog's partition names, over a raw table by batch."""
+    name = _land(spark, deposits_from_orders(spark, sf), "raw", partition_by="ingestion_timestamp")
+    return pinned_batch(read_table(spark, name), table=name)
+
+
+@register(
+    "except_tables",
+    f"{q.dep_ctes()} SELECT * FROM dep EXCEPT SELECT * FROM batch WHERE {q.rules_ok()}",
+)
+def except_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """SET-1 of two tables: the raw table (NULLs and repeats in it) minus the validated
+    table as FLOW-4 wrote it."""
+    raw = _land(spark, deposits_from_orders(spark, sf), "raw")
+    names = {t: scratch_table_name(t) for t in ("valid", "rejected", "silver")}
+    refine_validated(spark, raw, names["valid"], names["rejected"], names["silver"], dedupe="latest",
+                     paths={t: scratch_path(spark, t) for t in names})
+    return except_rows(read_table(spark, raw), read_table(spark, names["valid"]))
+
+
+@register(
+    "contract_refused",
+    f"""{q.dep_ctes()}, n AS (SELECT count(*) AS rows_kept FROM batch)
+SELECT unnest(['as_written', 'letter_case', 'no_column', 'other_type', 'other_order', 'more_columns', 'not_partitioned']) AS "case",
+       unnest([FALSE, FALSE, TRUE, TRUE, TRUE, TRUE, TRUE]) AS refused, rows_kept FROM n""",
+)
+def contract_refused(spark: SparkSession, sf: str) -> DataFrame:
+    """PRJ-3 against the catalog: whether rows are refused before an append, and how many
+    the table holds after all of it."""
+    batch = latest_batch(deposits_from_orders(spark, sf))
+    silver = project_to(clean_deposits(batch), SILVER_8)
+    name = _land(spark, silver, "silver", partition_by="deposit_date")
+    cases = {
+        "as_written": (silver, "deposit_date"),
+        "letter_case": (project_to(clean_deposits(batch), [(s, t, n.upper()) for s, t, n in SILVER_8]), "Deposit_Date"),
+        "no_column": (silver.drop("branch_id"), "deposit_date"),
+        "other_type": (project_to(clean_deposits(batch, precision=18), SILVER_8), "deposit_date"),
+        "other_order": (silver.select(*reversed(silver.columns)), "deposit_date"),
+        "more_columns": (silver.withColumn("note", F.lit("x")), "deposit_date"),
+        "not_partitioned": (silver, None),
+    }
+    rows = []
+    for case, (df, by) in cases.items():
+        try:
+            check_target(df, name, by)
+            rows.append((case, False))
+        except TargetMismatchError:
+            rows.append((case, True))
+    kept = read_table(spark, name).agg(F.count(F.lit(1)).alias("rows_kept"))
+    return spark.createDataFrame(rows, "case string, refused boolean").join(kept)
+
+
+@register(
+    "land_spread",
+    f"{q.dep_ctes()} SELECT {q.nulled_text()}, CAST(NULL AS VARCHAR) AS {CORRUPT_COL}, TRUE AS from_gzip FROM dep",
+)
+def land_spread(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-1: drops that cannot be split (gzip), dealt over 8 tasks before they are
+    written; every row keeps the file it came from."""
+    src, name = scratch_path(spark, "gzip-drop"), scratch_table_name("landed")
+    write_csv(deposits_from_orders(spark, sf).select(*DEPOSIT_COLUMNS), src, compression="gzip")
+    ingest_declared(spark, src, name, string_schema(DEPOSIT_COLUMNS), path=scratch_path(spark, "landed"), spread=8)
+    return read_table(spark, name).select(
+        *DEPOSIT_COLUMNS, CORRUPT_COL, F.col("source_file_name").endswith(".csv.gz").alias("from_gzip"))
+
+
+@register(
+    "stream_counts",
+    f"""{q.dep_ctes()}
+SELECT 'first' AS run, count(*) FILTER (WHERE {_FIRST_TWO}) AS landed_rows FROM dep
+UNION ALL SELECT 'second', count(*) FILTER (WHERE NOT {_FIRST_TWO}) FROM dep
+UNION ALL SELECT 'third', 0""",
+)
+def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """AUD-1 of a stream: what each landing reports, file by file, as observed in its
+    micro-batches: two months, the third one, nothing new."""
+    dep = deposits_from_orders(spark, sf, period=True).select(*DEPOSIT_COLUMNS, "mon_yyyy")
+    drops, name = scratch_path(spark, "drops"), scratch_table_name("stream_raw")
+    checkpoint, path, rows = scratch_path(spark, "stream_ckpt"), scratch_path(spark, "stream_raw"), []
+    for run, months in (("first", BATCH_PERIODS[:2]), ("second", BATCH_PERIODS[2:]), ("third", [])):
+        if months:
+            write_csv(dep.where(F.col("mon_yyyy").isin(months)), drops, partition_by="mon_yyyy", mode="append")
+        landed = land_new_drops(spark, drops, string_schema(DEPOSIT_COLUMNS), name, checkpoint, path=path, maxFilesPerTrigger="2")
+        rows.append((run, landed["rows"]))
+    return spark.createDataFrame(rows, "run string, landed_rows long")
+
+
 # ---------------------------------------------------------------- flagship (no sink)
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """FLOW-3's plan on the derived view: latest batch -> keep-first -> clean -> silver."""

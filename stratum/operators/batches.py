@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -39,12 +42,51 @@ def pin_latest_stamp(df: DataFrame, ts_col: str = INGESTION_COL) -> Column | Non
     recomputed over the whole history per read, and the literal filter is
     pushed into the scan at planning time.
     """
+    text = latest_key(df, ts_col)
+    return None if text is None else stamp_at(df, text, ts_col)
+
+
+def latest_key(df: DataFrame, ts_col: str = INGESTION_COL) -> str | None:
+    """The latest stamp as text that names it exactly: epoch microseconds (TIMESTAMP) or
+    the value's own text (other types)."""
+    return df.select(_key_of(df, F.max(ts_col), ts_col)).first()[0]
+
+
+def _key_of(df: DataFrame, value: Column, ts_col: str) -> Column:
+    zoned = isinstance(df.schema[ts_col].dataType, TimestampType)
+    return (F.unix_micros(value) if zoned else value).cast("string")
+
+
+def stamp_at(df: DataFrame, key: str, ts_col: str = INGESTION_COL) -> Column:
+    """The stamp that ``key`` names, as a literal of the column's type."""
     dtype = df.schema[ts_col].dataType
     if isinstance(dtype, TimestampType):
-        v = df.select(F.unix_micros(F.max(ts_col))).first()[0]
-        return None if v is None else F.timestamp_micros(F.lit(v))
-    v = df.select(F.max(ts_col).cast("string")).first()[0]
-    return None if v is None else F.lit(v).cast(dtype)
+        return F.timestamp_micros(F.lit(int(key)))
+    return F.lit(key).cast(dtype)
+
+
+def partition_keys(spark: SparkSession, table: str, ts_col: str = INGESTION_COL) -> list[str] | None:
+    """AGG-1 from the catalog alone: the stamps of a table laid out by ``ts_col``, latest
+    first, as ``latest_key`` writes them; ``None`` where the table is not partitioned by
+    ``ts_col`` in the catalog.
+
+    Partition names are read, no file is listed or opened. One stamp a batch comes to the
+    driver. A TIMESTAMP column is left to ``latest_key``: its partition names are local
+    times, which a repeated clock hour makes ambiguous.
+    """
+    columns = {c.name.lower(): c for c in spark.catalog.listColumns(table)}
+    column = columns.get(ts_col.lower())
+    if column is None or not column.isPartition or column.dataType == "timestamp":
+        return None
+    known = ".".join(f"`{part}`" for part in table.replace("`", "").split("."))
+    try:
+        names = spark.sql(f"SHOW PARTITIONS {known}")
+    except AnalysisException:  # partitions that the catalog does not track
+        return None
+    text = F.regexp_extract("partition", f"(?:^|/){re.escape(column.name)}=([^/]*)", 1)
+    value = F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))).cast(column.dataType)
+    stamps = names.select(value.alias("v")).where(F.col("v").isNotNull()).distinct()
+    return [r[0] for r in stamps.orderBy(F.desc("v")).select(F.col("v").cast("string")).collect()]
 
 
 def batch_at(df: DataFrame, stamp: Column, ts_col: str = INGESTION_COL) -> DataFrame:

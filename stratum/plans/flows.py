@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratum.functions.values import DATE_DAY_FIRST, DATE_ISO
-from stratum.operators.batches import batch_at, latest_batch, pin_latest_stamp
+from stratum.operators.batches import batch_at, latest_batch, latest_key, partition_keys, stamp_at
 from stratum.operators.contract import (
     SILVER_8,
     SILVER_8_CAPS,
@@ -42,8 +42,9 @@ from stratum.operators.contract import (
 from stratum.operators.dedupe import dedupe_any, dedupe_first
 from stratum.operators.rules import Rule, deposit_rules, passes, reject_all, reject_distinct, validate
 from stratum.operators.stamps import stamp_ingestion, stamp_source_file
-from stratum.sinks.tables import append_table, overwrite_table
-from stratum.sources.files import read_csv_declared, read_csv_strings
+from stratum.sinks.ledger import Ledger
+from stratum.sinks.tables import append_table, check_target, overwrite_table, replace_batch
+from stratum.sources.files import drop_files, only_files, read_csv_declared, read_csv_strings
 from stratum.sources.guards import EmptyBatchError, open_source, require_rows
 from stratum.sources.tables import read_table
 
@@ -91,24 +92,36 @@ def _date_target(contract: Contract) -> str:
     return next(t for s, _, t in contract if s == "deposit_date")
 
 
-def pinned_batch(raw: DataFrame, empty_batch: str = "stop") -> DataFrame:
+def pinned_batch(raw: DataFrame, empty_batch: str = "stop", table: str | None = None) -> DataFrame:
     """BAT-1 + SRC-8 for one flow run: the latest batch under a pinned stamp.
 
     ``empty_batch="stop"`` raises ``EmptyBatchError`` when the table holds no
     stamped row; ``"pass"`` hands on an empty batch (an overwrite would then
     erase its target).
     """
+    return pinned(raw, empty_batch, table)[0]
+
+
+def pinned(raw: DataFrame, empty_batch: str = "stop", table: str | None = None) -> tuple[DataFrame, str | None]:
+    """The latest batch of ``raw`` and the text that names its stamp.
+
+    Where ``table`` (the name of ``raw``) is laid out by the stamp, the stamps are its
+    partition names in the catalog: no row is read to find the latest one. Partitions
+    left without rows are passed over.
+    """
     if empty_batch not in ("stop", "pass"):
         raise ValueError(f"empty_batch must be 'stop' or 'pass', not {empty_batch!r}")
-    stamp = pin_latest_stamp(raw)
-    if stamp is None:
-        if empty_batch == "stop":
-            raise EmptyBatchError("the table holds no stamped row, so there is no batch to refine")
-        return raw.where(F.lit(False))
-    batch = batch_at(raw, stamp)
-    if empty_batch == "stop" and batch.isEmpty():
-        raise EmptyBatchError("the pinned stamp selects no row; the target is left as it is")
-    return batch
+    keys = partition_keys(raw.sparkSession, table) if table else None
+    if keys is None:
+        keys = [k] if (k := latest_key(raw)) is not None else []
+    for key in keys:
+        batch = batch_at(raw, stamp_at(raw, key))
+        if not batch.isEmpty():
+            return batch, key
+    if empty_batch == "stop":
+        what = "the pinned stamp selects no row" if keys else "the table holds no stamped row, so there is no batch to refine"
+        raise EmptyBatchError(f"{what}; the target is left as it is")
+    return raw.where(F.lit(False)), None
 
 
 # --------------------------------------------------------------------------
@@ -123,6 +136,8 @@ def ingest_declared(
     ingestion_ts: _dt.datetime | Column | None = None,
     path: str | None = None,
     partition_by: str | list[str] | None = None,
+    ledger: Ledger | None = None,
+    spread: int | None = None,
 ) -> dict[str, int]:
     """FLOW-1: declared-schema CSV drop -> stamps -> append to the raw table.
 
@@ -131,12 +146,14 @@ def ingest_declared(
     lays the raw table out by batch, so that reading the latest one skips the
     folders of all earlier ones (give the stamp as TIMESTAMP_NTZ where the session
     zone repeats an hour: folder names hold local time).
+
+    ``ledger`` lands each file of the drop once, however often the flow runs.
+    ``spread`` deals the rows of files that cannot be split (gzip) over so many tasks
+    before they are stamped and written; each keeps the file it came from.
     """
     raw = open_source(lambda: read_csv_declared(spark, source_path, schema), source_path)
     require_rows(raw)
-    landed = stamp_source_file(stamp_ingestion(raw, ingestion_ts))
-    n = append_table(landed, table, fmt=fmt, path=path, partition_by=partition_by, count=True)
-    return {"rows": n or 0}
+    return _land(spark, raw, source_path, table, fmt, ingestion_ts, path, partition_by, ledger, spread, stamp_source_file)
 
 
 def ingest_strings(
@@ -147,13 +164,34 @@ def ingest_strings(
     ingestion_ts: _dt.datetime | Column | None = None,
     path: str | None = None,
     partition_by: str | list[str] | None = None,
+    ledger: Ledger | None = None,
+    spread: int | None = None,
 ) -> dict[str, int]:
-    """FLOW-2: header-named all-string CSV drop -> stamp -> append (``partition_by``
-    as in ``ingest_declared``)."""
+    """FLOW-2: header-named all-string CSV drop -> stamp -> append (``partition_by``,
+    ``ledger`` and ``spread`` as in ``ingest_declared``)."""
     raw = open_source(lambda: read_csv_strings(spark, source_path), source_path)
-    landed = stamp_ingestion(raw, ingestion_ts)
-    n = append_table(landed, table, fmt=fmt, path=path, partition_by=partition_by, count=True)
-    return {"rows": n or 0}
+    return _land(spark, raw, source_path, table, fmt, ingestion_ts, path, partition_by, ledger, spread, lambda df: df)
+
+
+def _land(spark, raw, source_path, table, fmt, ingestion_ts, path, partition_by, ledger, spread, with_file) -> dict[str, int]:
+    """Appends the rows of a drop; under a ledger those of its files that have not
+    landed. Counts come from the write."""
+    new = run = None
+    if ledger is not None:
+        new = ledger.open(table, drop_files(spark, source_path)).collect()  # the files of one drop
+        if not new:
+            return {"rows": 0, "files": 0}
+        raw = only_files(raw, [f.file_path for f in new])
+    rows = with_file(raw)  # the file is known at the scan, not after a shuffle
+    if spread:
+        rows = rows.repartition(spread)
+    if new is not None:
+        run = ledger.start(table, spark.createDataFrame([(f.item,) for f in new], "item string"))
+    n = append_table(stamp_ingestion(rows, ingestion_ts), table, fmt=fmt, path=path, partition_by=partition_by, count=True)
+    if new is None:
+        return {"rows": n or 0}
+    ledger.finish(table, run, n or 0)
+    return {"rows": n or 0, "files": len(new)}
 
 
 # --------------------------------------------------------------------------
@@ -199,7 +237,7 @@ def refine_replace(
     path: str | None = None,
 ) -> dict[str, int]:
     """FLOW-3: overwrite the silver table, partitioned by date, with the latest batch."""
-    batch = pinned_batch(read_table(spark, source_table), empty_batch)
+    batch = pinned_batch(read_table(spark, source_table), empty_batch, source_table)
     silver = refine_batch(batch, dedupe, contract, date_format, precision, strict)
     n = overwrite_table(
         silver, target_table, fmt=fmt, partition_by=_date_target(contract), path=path, count=True,
@@ -236,12 +274,17 @@ def refine_validated(
     fmt: str | None = None,
     paths: dict[str, str] | None = None,
     formats: dict[str, str] | None = None,
+    quarantine: str = "append",
 ) -> dict[str, int]:
     """FLOW-4: validate the latest batch, quarantine rejects, refine the rest.
 
     ``paths`` / ``formats`` are keyed ``"valid"``, ``"rejected"``, ``"silver"``
     (a format given per table wins over ``fmt``; e.g. Delta for silver only).
 
+    ``quarantine="append"`` adds the rejects to the quarantine table, as coded: a second
+    run of the same batch adds them again. ``"batch"`` keeps that table by batch (its
+    column ``batch_key``), and a second run replaces what the first one left.
+
     Returns the audit (AUD-1): ``processed``, ``valid``, ``rejected`` (rows
     failing a rule), ``rejected_written`` (rows appended to the quarantine
     table: fewer than ``rejected`` under the EXCEPT-DISTINCT reading) and
@@ -249,13 +292,19 @@ def refine_validated(
     """
     if rejects not in ("distinct", "all"):
         raise ValueError(f"rejects must be 'distinct' or 'all', not {rejects!r}")
+    if quarantine not in ("append", "batch"):
+        raise ValueError(f"quarantine must be 'append' or 'batch', not {quarantine!r}")
     rules = rules if rules is not None else deposit_rules()
     paths = paths or {}
     fmts = {k: (formats or {}).get(k, fmt) for k in ("valid", "rejected", "silver")}
-    batch = pinned_batch(read_table(spark, source_table), empty_batch)
+    batch, key = pinned(read_table(spark, source_table), empty_batch, source_table)
 
     rejected = reject_distinct(batch, rules) if rejects == "distinct" else reject_all(batch, rules)
-    n_rej = append_table(rejected, rejected_table, fmt=fmts["rejected"], path=paths.get("rejected"), count=True)
+    if quarantine == "append":
+        n_rej = append_table(rejected, rejected_table, fmt=fmts["rejected"], path=paths.get("rejected"), count=True)
+    else:
+        n_rej = 0 if key is None else replace_batch(
+            rejected, rejected_table, key, fmt=fmts["rejected"], path=paths.get("rejected"))
 
     # processed / valid / rejected are observed on the whole batch inside the
     # valid write: a shuffle-free job, so the metrics come from result tasks only
@@ -312,11 +361,30 @@ def refine_append(
     empty_batch: str = "stop",
     fmt: str | None = None,
     path: str | None = None,
+    ledger: Ledger | None = None,
+    check: bool = False,
 ) -> dict[str, int]:
-    """FLOW-5: append the latest validated batch to the history-keeping silver table."""
-    batch = pinned_batch(read_table(spark, source_table), empty_batch)
+    """FLOW-5: append the latest validated batch to the history-keeping silver table.
+
+    Without a ``ledger`` a second run appends the batch again, as coded. With one, a
+    batch that has landed is left out (``already_landed``: its rows then), and one whose
+    append was cut off raises ``InterruptedRunError``. ``check`` compares the rows with
+    the target's columns before anything is written.
+    """
+    batch, key = pinned(read_table(spark, source_table), empty_batch, source_table)
     silver = append_batch(batch, contract, date_format, precision, strict)
+    if check:
+        check_target(silver, target_table, _date_target(contract))
+    run = None
+    if ledger is not None and key is not None:
+        item = spark.createDataFrame([(f"{source_table}|{key}",)], "item string")
+        if ledger.open(target_table, item).isEmpty():
+            landed = ledger.landed(target_table).join(item, "item", "left_semi").first()
+            return {"written": 0, "already_landed": landed.rows or 0}
+        run = ledger.start(target_table, item)
     n = append_table(
         silver, target_table, fmt=fmt, partition_by=_date_target(contract), path=path, count=True,
     )
+    if run is not None:
+        ledger.finish(target_table, run, n or 0)
     return {"written": n or 0}

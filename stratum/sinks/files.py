@@ -16,10 +16,12 @@ def write_csv(
     header: bool = True,
     mode: str = "errorifexists",
     partition_by: str | list[str] | None = None,
+    compression: str = "none",
 ) -> None:
     writer = (
         df.write.mode(mode)
         .option("header", header)
+        .option("compression", compression)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
     )

@@ -15,15 +15,23 @@ being written, so the row count comes from the same job -- no second scan,
 and no re-evaluation of ``current_timestamp()``. Sitting above every exchange,
 it is collected in the result stage, whose metrics are taken once per
 partition, so tasks re-run after an executor loss are not counted twice.
+
+Overwrites of file-source tables are staged (``staged.py``): the old rows stay until the
+new ones are complete, and the table changes in one catalog step. Transactional formats
+keep their own atomic overwrite.
 """
 
 from __future__ import annotations
 
+import itertools
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from stratum.sinks.staged import described, hadoop_path, layout, partition_columns, quoted, stage
+
 APPEND, OVERWRITE = "append", "overwrite"
 
 # Hive-style file-source table formats (partitions tracked in the catalog).
@@ -59,17 +67,14 @@ def write_table(
     parts = _as_list(partition_by)
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
-    if parts and (mode == OVERWRITE or not exists) and _file_format(spark, name, fmt, exists):
-        # (Re)create the table empty, then append: creating a partitioned
+    if mode == APPEND and exists:
+        path = None  # the table knows its location
+    if parts and mode == APPEND and not exists and _file_format(spark, name, fmt, exists):
+        # Create the table empty, then append: creating a partitioned
         # file-source table from data makes Spark list every new partition
         # folder in a second job to register it, while an append registers the
-        # partitions its own write reports. Same end state as an overwrite: new
-        # schema, every old partition gone, whatever the session's
-        # partitionOverwriteMode. Transactional formats (e.g. Delta) keep their
-        # single atomic overwrite instead. An append that creates the table
-        # does so in the caller's mode, exactly as a plain saveAsTable would.
+        # partitions its own write reports.
         _write(df.limit(0), name, mode, fmt, parts, path)
-        mode = APPEND
     if parts and rebalance:
         df = df.repartition(writers, *parts) if writers else df.hint("rebalance", *parts)
     obs = None
@@ -77,7 +82,10 @@ def write_table(
         # above any exchange: counted in the result stage that writes the files
         obs = Observation(f"stratum_write_{uuid.uuid4().hex[:8]}")
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    _write(df, name, mode, fmt, parts, path)
+    if mode == OVERWRITE and _file_format(spark, name, fmt, exists):
+        stage(df, name, fmt or spark.conf.get("spark.sql.sources.default", "parquet"), parts, path).commit()
+    else:
+        _write(df, name, mode, fmt, parts, path)
     return int(obs.get["rows"]) if obs is not None else None
 
 
@@ -85,9 +93,7 @@ def _file_format(spark, name: str, fmt: str | None, exists: bool) -> bool:
     """Whether the target is (or will be) a Hive-style file-source table."""
     provider = fmt
     if provider is None and exists:
-        quoted = ".".join(f"`{part}`" for part in name.replace("`", "").split("."))
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").where("col_name = 'Provider'").collect()
-        provider = rows[0][1] if rows else None
+        provider = described(spark, name).get("Provider")
     if provider is None:
         provider = spark.conf.get("spark.sql.sources.default", "parquet")
     return str(provider).lower() in FILE_FORMATS
@@ -116,6 +122,74 @@ def overwrite_table(df: DataFrame, name: str, **kw) -> int | None:
     return write_table(df, name, OVERWRITE, **kw)
 
 
+class TargetMismatchError(ValueError):
+    """The rows do not fit the table they are meant for."""
+
+
+def check_target(df: DataFrame, name: str, partition_by: str | list[str] | None = None) -> DataFrame:
+    """PRJ-3 against the catalog: ``df`` unchanged if table ``name`` does not exist yet or
+    has its columns, names, types and order alike (partition columns last, letter case
+    aside), and is partitioned by ``partition_by``. Otherwise raises, before any file is
+    written: an append matches columns by name and casts what differs.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        return df
+    parts = _as_list(partition_by)
+    has = partition_columns(spark, name)
+    if [p.lower() for p in parts] != [p.lower() for p in has]:
+        raise TargetMismatchError(f"{name} is partitioned by {has or 'nothing'}, the rows by {parts or 'nothing'}")
+    given, wanted = ([(c.lower(), kind) for c, kind in layout(schema, parts)] for schema in (df.schema, spark.table(name).schema))
+    if given != wanted:
+        odd = [f"{g or 'nothing'} for {w or 'nothing'}" for g, w in itertools.zip_longest(given, wanted) if g != w]
+        raise TargetMismatchError(f"{name} has other columns: {'; '.join(odd)}")
+    return df
+
+
+def replace_batch(
+    df: DataFrame,
+    name: str,
+    batch: str,
+    key: str = "batch_key",
+    fmt: str | None = None,
+    path: str | None = None,
+) -> int:
+    """SNK-6, re-runnable: the rows of one batch replace those the table holds of it.
+
+    The table is partitioned by ``key``, which holds the batch's name on every row; a
+    dynamic partition overwrite touches this partition alone, so refining a batch again
+    leaves its rows once and those of all others as they are. Without rows the partition
+    goes. Returns the rows written.
+    """
+    spark = df.sparkSession
+    keyed = df.withColumn(key, F.lit(batch))
+    if not spark.catalog.tableExists(name):
+        _write(keyed.limit(0), name, APPEND, fmt, [key], path)
+    check_target(keyed, name, key)
+    table = described(spark, name)
+    obs = Observation(f"stratum_batch_{uuid.uuid4().hex[:8]}")
+    rows = keyed.select(*spark.table(name).columns).observe(obs, F.count(F.lit(1)).alias("rows"))
+    writer = rows.write.mode(OVERWRITE).format(table["Provider"]).partitionBy(key)
+    writer.option("partitionOverwriteMode", "dynamic").save(table["Location"])
+    n = int(obs.get["rows"])
+    if not n:
+        _drop_folder(spark, table["Location"], key, batch)
+    if "Partition Provider" in table:
+        literal = batch.replace("\\", "\\\\").replace("'", "\\'")
+        change = "ADD IF NOT EXISTS" if n else "DROP IF EXISTS"
+        spark.sql(f"ALTER TABLE {quoted(name)} {change} PARTITION (`{key}` = '{literal}')")
+    spark.catalog.refreshTable(name)
+    return n
+
+
+def _drop_folder(spark, location: str, key: str, batch: str) -> None:
+    root, fs = hadoop_path(spark, location)
+    for status in fs.listStatus(root):
+        column, _, value = status.getPath().getName().partition("=")
+        if column.lower() == key.lower() and unquote(value) == batch:
+            fs.delete(status.getPath(), True)
+
+
 def write_split(
     valid: DataFrame,
     rejected: DataFrame,

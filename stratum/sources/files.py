@@ -8,6 +8,7 @@ A declared schema means no inference pass over the data.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT_COL = "_corrupt_record"
@@ -87,3 +88,17 @@ def period_path(template: str, **params: str) -> str:
     local paths in tests).
     """
     return template.format(**params)
+
+
+def drop_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The files a read of ``path`` would take: file_path and item, a name that changes
+    with the file's modification time and size. No file is opened."""
+    files = spark.read.format("binaryFile").load(path)
+    meta = files.select(*(F.col(f"_metadata.{c}") for c in ("file_path", "file_modification_time", "file_size")))
+    item = F.concat_ws("|", "file_path", F.unix_micros("file_modification_time").cast("string"), F.col("file_size").cast("string"))
+    return meta.select("file_path", item.alias("item"))
+
+
+def only_files(df: DataFrame, paths: list[str]) -> DataFrame:
+    """The rows of ``df`` (a file read) from these files; the others are not opened."""
+    return df.where(F.col("_metadata.file_path").isin(paths))
