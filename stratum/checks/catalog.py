@@ -96,6 +96,11 @@ def _drop_csv(spark: SparkSession, df: DataFrame, tag: str, **kw) -> str:
     return path
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Writers of the checks' many small dates: as many as the cluster has cores."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _batches(df: DataFrame):
     """The monthly batches of the derived view, oldest first (the load schedule)."""
     for ts in BATCH_STAMPS:
@@ -210,7 +215,7 @@ def guards_raised(spark: SparkSession, sf: str) -> DataFrame:
         ingest_declared(spark, source, landed, schema, path=landed_path)
 
     def refine(policy: str) -> None:
-        refine_replace(spark, no_stamp, silver, dedupe="first", path=silver_path, empty_batch=policy)
+        refine_replace(spark, no_stamp, silver, dedupe="first", path=silver_path, writers=_tasks(spark), empty_batch=policy)
 
     rows = []
     for guard, step, given, target in (
@@ -526,6 +531,7 @@ def overwrite_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     for part in _batches(deposits_from_orders(spark, sf)):
         overwrite_table(
             project_to(clean_deposits(part), SILVER_8), name, partition_by="deposit_date", path=path,
+            writers=_tasks(spark),
         )
     return read_table(spark, name).select(*[t for _, _, t in SILVER_8])
 
@@ -540,7 +546,8 @@ def append_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     for part in _batches(deposits_iso(spark, sf)):
         cleaned = clean_deposits(part, DATE_ISO, 18, customer_id=True)
         append_table(
-            project_to(cleaned, SILVER_9), name, partition_by="deposit_date", path=path
+            project_to(cleaned, SILVER_9), name, partition_by="deposit_date", path=path,
+            writers=_tasks(spark),
         )
     return read_table(spark, name).select(*[t for _, _, t in SILVER_9])
 
@@ -637,7 +644,7 @@ def flow_refine_replace(spark: SparkSession, sf: str) -> DataFrame:
     """FLOW-3 with keep-first dedupe (exact, unlike the arbitrary survivor)."""
     raw = _land(spark, deposits_from_orders(spark, sf), "raw")
     name = scratch_table_name("silver")
-    refine_replace(spark, raw, name, dedupe="first", path=scratch_path(spark, "silver"))
+    refine_replace(spark, raw, name, dedupe="first", path=scratch_path(spark, "silver"), writers=_tasks(spark))
     return read_table(spark, name).select(*[t for _, _, t in SILVER_8])
 
 
@@ -659,7 +666,7 @@ def flow_refine_validated(spark: SparkSession, sf: str) -> DataFrame:
     names = {t: scratch_table_name(t) for t in ("valid", "rejected", "silver")}
     refine_validated(
         spark, raw, names["valid"], names["rejected"], names["silver"], dedupe="latest",
-        paths={t: scratch_path(spark, t) for t in names},
+        paths={t: scratch_path(spark, t) for t in names}, writers=_tasks(spark),
     )
     return read_table(spark, names["silver"]).select(*_CAPS)
 
@@ -670,7 +677,7 @@ def _validated(spark: SparkSession, sf: str, rejects: str = "distinct") -> tuple
     names = {t: scratch_table_name(t) for t in ("valid", "rejected", "silver")}
     audit = refine_validated(
         spark, raw, names["valid"], names["rejected"], names["silver"], rejects=rejects, dedupe="latest",
-        paths={t: scratch_path(spark, t) for t in names},
+        paths={t: scratch_path(spark, t) for t in names}, writers=_tasks(spark),
     )
     return names, audit
 
@@ -723,7 +730,7 @@ def flow_refine_append_months(spark: SparkSession, sf: str) -> DataFrame:
     name, path = scratch_table_name("silver9"), scratch_path(spark, "silver9")
     for part in _batches(deposits_iso(spark, sf)):
         append_table(part, validated, partition_by="ingestion_timestamp", path=validated_path)
-        refine_append(spark, validated, name, path=path)
+        refine_append(spark, validated, name, path=path, writers=_tasks(spark))
     return read_table(spark, name).select(*[t for _, _, t in SILVER_9])
 
 
@@ -735,7 +742,7 @@ def flow_refine_append(spark: SparkSession, sf: str) -> DataFrame:
     """FLOW-5: latest validated batch appended to the history-keeping silver table."""
     validated = _land(spark, deposits_iso(spark, sf), "validated")
     name = scratch_table_name("silver9")
-    refine_append(spark, validated, name, path=scratch_path(spark, "silver9"))
+    refine_append(spark, validated, name, path=scratch_path(spark, "silver9"), writers=_tasks(spark))
     return read_table(spark, name).select(*[t for _, _, t in SILVER_9])
 
 
@@ -761,7 +768,7 @@ def bronze_to_silver(spark: SparkSession, sf: str) -> DataFrame:
     names = {t: scratch_table_name(t) for t in ("valid", "rejected", "silver")}
     refine_validated(
         spark, bronze, names["valid"], names["rejected"], names["silver"], dedupe="latest",
-        paths={t: scratch_path(spark, t) for t in names},
+        paths={t: scratch_path(spark, t) for t in names}, writers=_tasks(spark),
     )
     return read_table(spark, names["silver"]).select(*_CAPS)
 
@@ -800,11 +807,11 @@ def overwrite_survives_failure(spark: SparkSession, sf: str) -> DataFrame:
     at rows it meets midway, so the table still holds the first month."""
     name, path = scratch_table_name("silver"), scratch_path(spark, "silver")
     first, second, _ = _batches(deposits_from_orders(spark, sf))
-    overwrite_table(project_to(clean_deposits(first), SILVER_8), name, partition_by="deposit_date", path=path)
+    overwrite_table(project_to(clean_deposits(first), SILVER_8), name, partition_by="deposit_date", path=path, writers=_tasks(spark))
     fails = F.when(F.col("branch_id") == "7", F.raise_error(F.lit("fails midway"))).otherwise(F.col("branch_id"))
     broken = project_to(clean_deposits(second.withColumn("branch_id", fails)), SILVER_8)
     try:
-        overwrite_table(broken, name, partition_by="deposit_date", path=path)
+        overwrite_table(broken, name, partition_by="deposit_date", path=path, writers=_tasks(spark))
     except Exception as e:
         if "fails midway" not in str(e):
             raise
@@ -826,7 +833,7 @@ def quarantine_rerun(spark: SparkSession, sf: str) -> DataFrame:
         append_table(part, raw, path=raw_path)
         for _ in range(2):
             refine_validated(spark, raw, names["valid"], names["rejected"], names["silver"], rejects="all",
-                             dedupe="latest", paths=paths, quarantine="batch")
+                             dedupe="latest", paths=paths, quarantine="batch", writers=_tasks(spark))
     return read_table(spark, names["rejected"])
 
 
@@ -842,7 +849,7 @@ def append_once(spark: SparkSession, sf: str) -> DataFrame:
     for part in _batches(deposits_iso(spark, sf)):
         append_table(part, validated, partition_by="ingestion_timestamp", path=validated_path)
         for _ in range(2):
-            refine_append(spark, validated, name, path=path, ledger=ledger, check=True)
+            refine_append(spark, validated, name, path=path, ledger=ledger, check=True, writers=_tasks(spark))
     return read_table(spark, name).select(*[t for _, _, t in SILVER_9])
 
 
@@ -875,7 +882,7 @@ def except_tables(spark: SparkSession, sf: str) -> DataFrame:
     raw = _land(spark, deposits_from_orders(spark, sf), "raw")
     names = {t: scratch_table_name(t) for t in ("valid", "rejected", "silver")}
     refine_validated(spark, raw, names["valid"], names["rejected"], names["silver"], dedupe="latest",
-                     paths={t: scratch_path(spark, t) for t in names})
+                     paths={t: scratch_path(spark, t) for t in names}, writers=_tasks(spark))
     return except_rows(read_table(spark, raw), read_table(spark, names["valid"]))
 
 
@@ -890,7 +897,7 @@ def contract_refused(spark: SparkSession, sf: str) -> DataFrame:
     the table holds after all of it."""
     batch = latest_batch(deposits_from_orders(spark, sf))
     silver = project_to(clean_deposits(batch), SILVER_8)
-    name = _land(spark, silver, "silver", partition_by="deposit_date")
+    name = _land(spark, silver, "silver", partition_by="deposit_date", writers=_tasks(spark))
     cases = {
         "as_written": (silver, "deposit_date"),
         "letter_case": (project_to(clean_deposits(batch), [(s, t, n.upper()) for s, t, n in SILVER_8]), "Deposit_Date"),

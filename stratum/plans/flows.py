@@ -235,12 +235,14 @@ def refine_replace(
     empty_batch: str = "stop",
     fmt: str | None = None,
     path: str | None = None,
+    writers: int | None = None,
 ) -> dict[str, int]:
-    """FLOW-3: overwrite the silver table, partitioned by date, with the latest batch."""
+    """FLOW-3: overwrite the silver table, partitioned by date, with the latest batch
+    (``writers`` as in ``write_table``)."""
     batch = pinned_batch(read_table(spark, source_table), empty_batch, source_table)
     silver = refine_batch(batch, dedupe, contract, date_format, precision, strict)
     n = overwrite_table(
-        silver, target_table, fmt=fmt, partition_by=_date_target(contract), path=path, count=True,
+        silver, target_table, fmt=fmt, partition_by=_date_target(contract), path=path, count=True, writers=writers,
     )
     return {"written": n or 0}
 
@@ -275,6 +277,7 @@ def refine_validated(
     paths: dict[str, str] | None = None,
     formats: dict[str, str] | None = None,
     quarantine: str = "append",
+    writers: int | None = None,
 ) -> dict[str, int]:
     """FLOW-4: validate the latest batch, quarantine rejects, refine the rest.
 
@@ -322,7 +325,7 @@ def refine_validated(
     silver = silver_from_valid(read_table(spark, valid_table), dedupe, contract, date_format, precision, strict)
     n_silver = overwrite_table(
         silver, silver_table, fmt=fmts["silver"], partition_by=_date_target(contract), path=paths.get("silver"),
-        count=True,
+        count=True, writers=writers,
     )
     audit.update(rejected_written=n_rej or 0, written=n_silver or 0)
     return audit
@@ -363,6 +366,7 @@ def refine_append(
     path: str | None = None,
     ledger: Ledger | None = None,
     check: bool = False,
+    writers: int | None = None,
 ) -> dict[str, int]:
     """FLOW-5: append the latest validated batch to the history-keeping silver table.
 
@@ -383,7 +387,7 @@ def refine_append(
             return {"written": 0, "already_landed": landed.rows or 0}
         run = ledger.start(target_table, item)
     n = append_table(
-        silver, target_table, fmt=fmt, partition_by=_date_target(contract), path=path, count=True,
+        silver, target_table, fmt=fmt, partition_by=_date_target(contract), path=path, count=True, writers=writers,
     )
     if run is not None:
         ledger.finish(target_table, run, n or 0)

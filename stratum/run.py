@@ -34,6 +34,8 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--param", action="append", default=[], help="extra template value key=value")
         s.add_argument("--table", required=True)
         s.add_argument("--format", default=None)
+        s.add_argument("--ledger", default=None, help="ledger table: land each file once")
+        s.add_argument("--spread", type=int, default=None, help="tasks for files that cannot be split")
         if name == "ingest-declared":
             s.add_argument("--columns", default="qa", help="'qa' or a comma-separated column list")
 
@@ -53,6 +55,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--dedupe", default="any", choices=["any", "first", "latest"])
     s.add_argument("--precision", type=int, default=18)
     s.add_argument("--date-format", default=DATE_DAY_FIRST)
+    s.add_argument("--quarantine", default="append", choices=["append", "batch"],
+                   help="append the rejects, or replace what the table holds of the batch")
     s.add_argument("--silver-format", default=None, help="table format of the silver table, e.g. delta")
     s.add_argument("--valid-format", default=None)
     s.add_argument("--rejected-format", default=None)
@@ -63,10 +67,13 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--precision", type=int, default=18)
     s.add_argument("--date-format", default=DATE_ISO)
     s.add_argument("--format", default=None)
+    s.add_argument("--ledger", default=None, help="ledger table: append each batch once")
+    s.add_argument("--check", action="store_true", help="refuse rows that do not fit the target")
 
     for name, s in sub.choices.items():
         s.add_argument("--strict", action="store_true", help="fail on unparseable values instead of NULL")
         if name.startswith("refine"):
+            s.add_argument("--writers", type=int, default=None, help="tasks of the date-partitioned write")
             s.add_argument("--empty-batch", default="stop", choices=["stop", "pass"],
                            help="stop on an empty latest batch, or pass it on (an overwrite then erases)")
     return p
@@ -78,35 +85,38 @@ def main(argv: list[str] | None = None) -> dict:
 
     from stratum import plans
     from stratum.operators.contract import SILVER_8, SILVER_8_CAPS
+    from stratum.sinks.ledger import Ledger
     from stratum.sources.files import QA_STRUCTURE_COLUMNS, period_path, string_schema
 
     spark = SparkSession.builder.appName(f"stratum-{args.flow}").getOrCreate()
     if args.flow.startswith("ingest"):
         params = dict(kv.split("=", 1) for kv in args.param)
         source = period_path(args.source, mon_yyyy=args.period, **params)
+        land = {"ledger": Ledger(spark, args.ledger) if args.ledger else None, "spread": args.spread}
         if args.flow == "ingest-declared":
             cols = QA_STRUCTURE_COLUMNS if args.columns == "qa" else args.columns.split(",")
-            out = plans.ingest_declared(spark, source, args.table, string_schema(cols), fmt=args.format)
+            out = plans.ingest_declared(spark, source, args.table, string_schema(cols), fmt=args.format, **land)
         else:
-            out = plans.ingest_strings(spark, source, args.table, fmt=args.format)
+            out = plans.ingest_strings(spark, source, args.table, fmt=args.format, **land)
     elif args.flow == "refine-replace":
         out = plans.refine_replace(
             spark, args.source, args.target, dedupe=args.dedupe,
             contract=SILVER_8_CAPS if args.caps else SILVER_8, date_format=args.date_format,
-            precision=args.precision, strict=args.strict, empty_batch=args.empty_batch, fmt=args.format,
+            precision=args.precision, strict=args.strict, empty_batch=args.empty_batch, fmt=args.format, writers=args.writers,
         )
     elif args.flow == "refine-validated":
         out = plans.refine_validated(
             spark, args.source, args.valid, args.rejected, args.silver, rejects=args.rejects,
             dedupe=args.dedupe, date_format=args.date_format, precision=args.precision, strict=args.strict,
-            empty_batch=args.empty_batch,
+            empty_batch=args.empty_batch, writers=args.writers, quarantine=args.quarantine,
             formats={k: v for k, v in (("silver", args.silver_format), ("valid", args.valid_format),
                                          ("rejected", args.rejected_format)) if v} or None,
         )
     else:
         out = plans.refine_append(
             spark, args.source, args.target, date_format=args.date_format, precision=args.precision,
-            strict=args.strict, empty_batch=args.empty_batch, fmt=args.format,
+            strict=args.strict, empty_batch=args.empty_batch, fmt=args.format, writers=args.writers,
+            ledger=Ledger(spark, args.ledger) if args.ledger else None, check=args.check,
         )
     print(json.dumps({"flow": args.flow, **out}))
     return out

@@ -21,12 +21,14 @@ from __future__ import annotations
 
 import time
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 _TRACKED = "spark.sql.hive.manageFilesourcePartitions"
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 def quoted(name: str) -> str:
@@ -40,8 +42,11 @@ def described(spark: SparkSession, name: str) -> dict[str, str]:
     return {r.col_name: r.data_type for r in rows[start:]}
 
 
-def partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+def table_layout(spark: SparkSession, name: str) -> tuple[list[tuple[str, str]], list[str]]:
+    """(name, type) of a table's columns, and its partition columns; from the catalog
+    alone: resolving the table would list its files."""
+    columns = spark.catalog.listColumns(name)
+    return [(c.name, c.dataType) for c in columns], [c.name for c in columns if c.isPartition]
 
 
 def layout(schema: StructType, parts: list[str]) -> list[tuple[str, str]]:
@@ -67,15 +72,14 @@ class Staged:
     def commit(self) -> None:
         """Makes the version the table's content."""
         spark, known = self.spark, quoted(self.name)
-        if spark.catalog.tableExists(self.name):
-            if self._same_layout():
-                spark.sql(f"ALTER TABLE {known} SET LOCATION '{self.location}'")
-            else:
-                spark.sql(f"DROP TABLE {known}")
-                self._create()
-        else:
+        exists = spark.catalog.tableExists(self.name)
+        if exists and not self._same_layout():
+            spark.sql(f"DROP TABLE {known}")
+            exists = False
+        if not exists:
             self._create()
-        spark.catalog.refreshTable(self.name)
+        with _listing_tasks(spark):
+            spark.sql(f"ALTER TABLE {known} SET LOCATION '{self.location}'")
         _delete_older(spark, self.root, self.location)
 
     def abort(self) -> None:
@@ -84,24 +88,23 @@ class Staged:
 
     def _same_layout(self) -> bool:
         now = described(self.spark, self.name)
+        columns, parts = table_layout(self.spark, self.name)
         return (
             now.get("Provider", "").lower() == self.fmt
             and "Partition Provider" not in now
-            and layout(self.spark.table(self.name).schema, partition_columns(self.spark, self.name)) == self.columns
-            and [p.lower() for p in partition_columns(self.spark, self.name)] == [p.lower() for p in self.parts]
+            and columns == self.columns
+            and [p.lower() for p in parts] == [p.lower() for p in self.parts]
         )
 
     def _create(self) -> None:
-        # in a session of its own: the caller's settings stay as they are
+        """The table without rows, in a session of its own: the caller's settings stay."""
         side = self.spark.newSession()
         side.conf.set(_TRACKED, "false")
         known = quoted(self.name if "." in self.name else f"{self.spark.catalog.currentDatabase()}.{self.name}")
         columns = ", ".join(f"`{c}` {kind}" for c, kind in self.columns)
         by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in self.parts)})" if self.parts else ""
-        at = f" LOCATION '{self.location}'" if self.external else ""
+        at = f" LOCATION '{self.root}/v-0'" if self.external else ""
         side.sql(f"CREATE TABLE {known} ({columns}) USING {self.fmt}{by}{at}")
-        if not self.external:
-            side.sql(f"ALTER TABLE {known} SET LOCATION '{self.location}'")
 
 
 def stage(df: DataFrame, name: str, fmt: str, parts: list[str], path: str | None) -> Staged:
@@ -139,6 +142,18 @@ def _root(spark: SparkSession, name: str, path: str | None) -> tuple[str, bool]:
     return f"{home}/{parts[-1]}__versions", False
 
 
+@contextmanager
+def _listing_tasks(spark: SparkSession):
+    """The step refreshes the table, which lists its new folders: a task a core, not one a
+    folder. The caller's setting comes back."""
+    before = spark.conf.get(_LISTING)
+    spark.conf.set(_LISTING, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING, before)
+
+
 def hadoop_path(spark: SparkSession, location: str):
     """A folder and the file system it is on."""
     path = spark._jvm.org.apache.hadoop.fs.Path(location)

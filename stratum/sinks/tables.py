@@ -30,7 +30,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from stratum.sinks.staged import described, hadoop_path, layout, partition_columns, quoted, stage
+from stratum.sinks.staged import described, hadoop_path, layout, quoted, stage, table_layout
 
 APPEND, OVERWRITE = "append", "overwrite"
 
@@ -136,10 +136,10 @@ def check_target(df: DataFrame, name: str, partition_by: str | list[str] | None
     if not spark.catalog.tableExists(name):
         return df
     parts = _as_list(partition_by)
-    has = partition_columns(spark, name)
+    columns, has = table_layout(spark, name)
     if [p.lower() for p in parts] != [p.lower() for p in has]:
         raise TargetMismatchError(f"{name} is partitioned by {has or 'nothing'}, the rows by {parts or 'nothing'}")
-    given, wanted = ([(c.lower(), kind) for c, kind in layout(schema, parts)] for schema in (df.schema, spark.table(name).schema))
+    given, wanted = ([(c.lower(), kind) for c, kind in side] for side in (layout(df.schema, parts), columns))
     if given != wanted:
         odd = [f"{g or 'nothing'} for {w or 'nothing'}" for g, w in itertools.zip_longest(given, wanted) if g != w]
         raise TargetMismatchError(f"{name} has other columns: {'; '.join(odd)}")
@@ -168,7 +168,7 @@ def replace_batch(
     check_target(keyed, name, key)
     table = described(spark, name)
     obs = Observation(f"stratum_batch_{uuid.uuid4().hex[:8]}")
-    rows = keyed.select(*spark.table(name).columns).observe(obs, F.count(F.lit(1)).alias("rows"))
+    rows = keyed.select(*(c for c, _ in table_layout(spark, name)[0])).observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = rows.write.mode(OVERWRITE).format(table["Provider"]).partitionBy(key)
     writer.option("partitionOverwriteMode", "dynamic").save(table["Location"])
     n = int(obs.get["rows"])

@@ -24,6 +24,8 @@ def spark():
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "4KB")
         .config("spark.sql.warehouse.dir", warehouse)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="stratum-ckpt-"))
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()

@@ -10,6 +10,7 @@ import textwrap
 from pyspark.sql import functions as F
 
 from stratum.sinks import overwrite_table
+from stratum.sinks.staged import described
 
 from conftest import ROOT
 
@@ -32,7 +33,8 @@ def test_hot_date_is_split_across_writers(spark, tmp_dir):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
-    hot = [f for f in os.listdir(tmp_dir + "/hot/deposit_date=2026-01-01") if f.endswith(".parquet")]
+    at = described(spark, "t_hot_date")["Location"].removeprefix("file:")
+    hot = [f for f in os.listdir(at + "/deposit_date=2026-01-01") if f.endswith(".parquet")]
     assert len(hot) > 1
     assert spark.table("t_hot_date").count() == n
 
