@@ -51,3 +51,9 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def plainly_named(rows: DataFrame, base: tuple[str, ...]) -> DataFrame:
+    """``rows`` with every column but ``base`` under a name that no operator uses; undo
+    with ``toDF(*rows.columns)``. So an operator's own columns never meet the caller's."""
+    return rows.toDF(*(c if c in base else f"caller_column_{k}" for k, c in enumerate(rows.columns)))

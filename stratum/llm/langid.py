@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratum.llm.common import materialise, ship_package
+from stratum.llm.common import materialise, plainly_named, ship_package
 from stratum.llm.textnum import Letters, code_points, text_batches
 
 UNKNOWN = "und"
@@ -270,7 +270,7 @@ def keep_identified(documents: DataFrame, samples: dict[str, str]) -> DataFrame:
     if not samples:
         return documents
     ship_package(documents.sparkSession)
-    kept = documents.columns
-    named = documents.mapInPandas(_predict(samples, kept, limits(samples)), ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields) + ", lang_pred string, score double")
-    return named.where(F.col("lang_pred") != UNKNOWN).select(*kept)
+    own = plainly_named(documents, ("doc_id", "text"))
+    named = own.mapInPandas(_predict(samples, own.columns, limits(samples)), ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields) + ", lang_pred string, score double")
+    return named.where(F.col("lang_pred") != UNKNOWN).select(*own.columns).toDF(*documents.columns)

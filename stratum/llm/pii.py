@@ -33,13 +33,12 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from stratum.llm.common import materialise, ship_package
+from stratum.llm.common import materialise, plainly_named, ship_package
 
-KEY = "surrogates-1"
+KEY = "surrogates-1"  # of tests and the registered queries, unless the session names another
 WIDER = 4  # attempts after which a format is widened once more
 COUNTED = ("email", "ip", "card", "phone", "iban", "ssn", "secret", "given", "surname")
 
@@ -73,9 +72,9 @@ _PARTICLES = {x for p in PARTICLES for x in (p, p.capitalize())}
 _MENTION = re.compile(rf"(?<!\w){_NAME}(?!\w)")
 _NEVER = {*NO_NAMES, *HONORIFICS["m"], *HONORIFICS["f"], *_PARTICLES}
 _PATTERN = re.compile(
-    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-]))"
+    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-]))"
     r"|(?P<aws>(?<![A-Za-z0-9])(?:AKIA|akia)[A-Za-z0-9]{16}(?![A-Za-z0-9]))"
-    r"|(?P<keyed>(?<![A-Za-z0-9])(?i:password|passwd|pwd|token|secret|api_?key)\s?[=:]\s?[\"']?(?P<secret>[A-Za-z0-9_\-]{8,128})(?![A-Za-z0-9_\-]))"
+    r"|(?P<keyed>(?<![A-Za-z0-9])(?i:password|passwd|pwd|token|secret|api_?key)\s?[=:]\s?[\"']?(?P<secret>[A-Za-z0-9_\-]{8,})(?![A-Za-z0-9_\-]))"
     r"|(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
@@ -111,6 +110,10 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         elif m["ip"]:
             if all(int(x) < 256 for x in m["ip"].split(".")):
                 out.append((m.start(), m.end(), "ip", m["ip"]))
+        elif m["card"]:
+            digits = "".join(c for c in m["card"] if c.isdigit())
+            if _luhn(digits[:-1]) == int(digits[-1]):  # other long numbers are no cards
+                out.append((m.start(), m.end(), "card", m["card"]))
         elif m["title"]:
             out += _names(text, *m.span("names"), _GENDER[m["title"].rstrip(" .\xa0")])
         elif m["abroad"] or m["plus"]:
@@ -230,8 +233,7 @@ def surrogate(kind: str, value: str, attempt: int = 0, key: str = KEY) -> str:
     if kind == "card":
         digits = [c for c in value if c.isdigit()]
         new = digits[:1] + [str(draw.below(10)) for _ in digits[1:]]
-        if _luhn("".join(digits[:-1])) == int(digits[-1]):
-            new[-1] = str(_luhn("".join(new[:-1])))
+        new[-1] = str(_luhn("".join(new[:-1])))
         fill = iter(new)
         return "".join(next(fill) if c.isdigit() else c for c in value) + more()
     if kind == "phone":
@@ -265,6 +267,11 @@ def surrogate(kind: str, value: str, attempt: int = 0, key: str = KEY) -> str:
     return _case_like("".join(SYLLABLES[script][draw.below(len(SYLLABLES[script]))] for _ in range(parts)).capitalize(), value)
 
 
+def session_key(spark: SparkSession) -> str:
+    """The key that the session names in ``spark.stratum.surrogateKey``."""
+    return spark.conf.get("spark.stratum.surrogateKey", KEY)
+
+
 def _text_key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
@@ -286,17 +293,19 @@ def _drawn(key: str):
     return run
 
 
-def surrogate_table(values: DataFrame, key: str = KEY) -> DataFrame:
+def surrogate_table(values: DataFrame, key: str) -> DataFrame:
     """kind, value, surrogate: distinct surrogates, none of which is a value itself."""
     schema = "kind string, value string, attempt int, surrogate string"
     own = materialise(values.select("kind", "value").distinct(), "pii-values")
     taken = own.select(F.col("value").alias("taken")).distinct()
     now = materialise(own.withColumn("attempt", F.lit(0)).mapInPandas(_drawn(key), schema), "pii-drawn")
     # earlier attempts keep what they have, so that a redraw never unsettles a settled value
-    order = Window.partitionBy("surrogate").orderBy("attempt", "kind", "value")
+    mine = F.struct("attempt", "kind", "value")
     while True:  # ends: pools grow with the attempts, and settled values stay
-        ranked = now.withColumn("nth", F.row_number().over(order)).join(taken, F.col("surrogate") == F.col("taken"), "left")
-        judged = ranked.select("kind", "value", "attempt", "surrogate", ((F.col("nth") > 1) | F.col("taken").isNotNull()).alias("clash"))
+        # one row a surrogate, elected before the shuffle: many names may share a surrogate
+        first = now.groupBy("surrogate").agg(F.min(mine).alias("first"))
+        ranked = now.join(first, "surrogate").join(taken, F.col("surrogate") == F.col("taken"), "left")
+        judged = ranked.select("kind", "value", "attempt", "surrogate", ((mine != F.col("first")) | F.col("taken").isNotNull()).alias("clash"))
         judged = materialise(judged, "pii-judged")
         if judged.where("clash").isEmpty():
             return judged.select("kind", "value", "surrogate")
@@ -326,9 +335,16 @@ def _replaced(columns: list[str], key: str):
     return run
 
 
-def replace_all(documents: DataFrame, key: str = KEY) -> DataFrame:
-    """``documents`` with replaced texts, all columns as they were (``n_chars`` counted
-    anew where it is there), and ``__<kind>`` counts."""
+def replaced(documents: DataFrame, key: str) -> DataFrame:
+    """``documents`` with replaced texts, all columns as they were, whatever their names
+    (``n_chars`` counted anew where it is there)."""
+    own = plainly_named(documents, ("doc_id", "text", "n_chars"))
+    return replace_all(own, key).select(*own.columns).toDF(*documents.columns)
+
+
+def replace_all(documents: DataFrame, key: str) -> DataFrame:
+    """As ``replaced``, with ``__<kind>`` counts: names that ``documents`` must not have.
+    Who holds ``key`` can draw the surrogates again: it is the caller's to choose and keep."""
     ship_package(documents.sparkSession)
     columns = documents.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)

@@ -79,7 +79,7 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its text with surrogates, and how many entities of each kind."""
-    done = pii.replace_all(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = pii.replace_all(read_table(spark, sf_dir, "documents").select("doc_id", "text"), pii.session_key(spark))
     counts = [F.col(f"__{k}").alias(f"n_{k}") for k in pii.COUNTED]
     total = sum((F.col(f"__{k}") for k in pii.COUNTED), F.lit(0)).alias("n_entities")
     return done.select("doc_id", "text", total, *counts)

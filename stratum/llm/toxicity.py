@@ -30,7 +30,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import materialise, ship_package
+from stratum.llm.common import materialise, plainly_named, ship_package
 from stratum.llm.textnum import _BASE, _UNBASE, Letters, code_points, mix, text_batches
 
 MOST_ROWS = 6_000  # of each label
@@ -108,7 +108,8 @@ def features(texts: list[str], lexicon: tuple[np.ndarray, np.ndarray]) -> np.nda
 
     sign = ~letter & ~table.space[cps]
     inside = sign & before & np.concatenate([letter[1:], [False]])
-    same = letter & np.concatenate([[False, False], (low[2:] == low[1:-1]) & (low[2:] == low[:-2])])
+    same = np.zeros(len(cps), dtype=bool)
+    same[2:] = letter[2:] & (low[2:] == low[1:-1]) & (low[2:] == low[:-2])
     count = lambda mask: np.bincount(doc_of[mask], minlength=n)
     hits, starts = np.bincount(doc[hit], minlength=n), np.bincount(doc[opens], minlength=n)
     return np.stack([
@@ -156,6 +157,12 @@ class Model:
             scored = self.curve.transform(margin).select(*keep, F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
         return scored.withColumn("predicted", F.when(F.col("score") >= REJECT, 1).otherwise(0).cast("int"))
 
+    def keep_clean(self, rows: DataFrame) -> DataFrame:
+        """``rows`` without those predicted to be toxic, columns as they were, whatever
+        their names."""
+        own = plainly_named(rows, ("doc_id", "text"))
+        return self.score(own, own.columns).where(F.col("predicted") == 0).select(*own.columns).toDF(*rows.columns)
+
 
 def _sample(documents: DataFrame, labels: DataFrame, learn: Column) -> tuple[DataFrame, dict[int, int]]:
     """At most MOST_ROWS rows of each label (text, toxic, fold), and all labels' counts."""

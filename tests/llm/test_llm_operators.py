@@ -6,6 +6,7 @@ import collections
 import hashlib
 import itertools
 import os
+import re
 import string
 import sys
 import zlib
@@ -193,20 +194,20 @@ def test_surrogates_are_distinct_and_consistent(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     before = {r.doc_id: r.text for r in docs.collect()}
     pairs = set()
-    for r in pii.replace_all(docs).collect():
+    for r in pii.replace_all(docs, pii.KEY).collect():
         old, new = pii.find(before[r.doc_id] or ""), pii.find(r.text or "")
         pairs |= {(a[2:], b[2:]) for a, b in zip(old, new, strict=True)}
         assert not {a[3] for a in old} & {b[3] for b in new}
     assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}) > 10
-    odd = pii.replace_all(edge(spark)).collect()
+    odd = pii.replace_all(edge(spark), pii.KEY).collect()
     assert len(odd) == 9 and sum(r.text is None for r in odd) == 2
     assert {r.text for r in odd if r.text and "mail" in r.text}.isdisjoint({"mail a.b@c.example.com to the man and of it now"})
-    assert pii.replace_all(edge(spark, True)).count() == 0
+    assert pii.replace_all(edge(spark, True), pii.KEY).count() == 0
 
 
 def test_clashing_surrogates_are_drawn_again(spark):
     names = spark.createDataFrame([("given_f", f"Name{i}") for i in range(300)], "kind string, value string")
-    got = [r.surrogate for r in pii.surrogate_table(names).collect()]
+    got = [r.surrogate for r in pii.surrogate_table(names, pii.KEY).collect()]
     assert len(got) == len(set(got)) == 300
 
 
@@ -214,13 +215,13 @@ def test_surrogates_of_short_formats_do_not_run_out(spark):
     quads = [("ip", ".".join(map(str, q))) for q in itertools.product(range(1, 10), repeat=4)]
     mails = [("email", f"{a}@{b}.com") for a in string.ascii_lowercase for b in string.ascii_lowercase]
     values = [*quads, *mails, ("secret", "________"), ("ssn", "123-45-6789")]
-    got = [r.surrogate for r in pii.surrogate_table(spark.createDataFrame(values, "kind string, value string")).collect()]
+    got = [r.surrogate for r in pii.surrogate_table(spark.createDataFrame(values, "kind string, value string"), pii.KEY).collect()]
     assert len(got) == len(set(got)) == len(values) and not {v for _, v in values} & set(got)
 
 
 def test_later_mentions_get_the_surrogate_of_the_name(spark):
     text = "Mr. John Q. Smith called +44 20 7946 0958. Later John Smith, then Smith, wrote."
-    new = pii.replace_all(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
+    new = pii.replace_all(spark.createDataFrame([(1, text)], "doc_id long, text string"), pii.KEY).first().text
     assert not any(x in new for x in ("John", "Smith", "Q.", "7946"))
     own = [v for _, _, _, v in pii.find(new)]
     assert own[0] == own[4] and own[2] == own[5] == own[6]
@@ -311,3 +312,45 @@ def test_language_samples_are_cut_before_they_reach_the_driver(spark, monkeypatc
     many = spark.createDataFrame([(7, "same id ", "en")] * 500 + rows[250:280], "doc_id long, text string, lang string")
     own = langid.fit(many, F.lit(True))["en"]
     assert own.count("same id") == 1 and own.count("other words") == 30
+
+
+CLASHES = ("score probability rawPrediction prediction features margin predicted lang_pred __map __tid __email __card tid bucket surrogate kind value kept "
+           "caller rank class_id is_kept key sequence_id offset start length ids part seq label weight").split()
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_keep_columns_of_any_name(spark, name, stage):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(40)
+    edges = edge(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    docs = docs.unionByName(edges).withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for c in CLASHES})
+    got = stage(spark, docs, SF_SMALL)
+    if name == "packing":
+        assert got.count() > 0
+        return
+    assert got.columns == docs.columns
+    for r in got.collect():
+        assert all(r[c] == c + ("-" if r.doc_id is None else str(r.doc_id)) for c in CLASHES)
+    empty = stage(spark, docs.limit(0), SF_SMALL)
+    assert empty.columns == docs.columns and empty.count() == 0
+
+
+def test_cards_secrets_and_domains_of_any_length(spark):
+    card, no_card = "4539 1488 0343 6467", "4539 1488 0343 6468"
+    long_domain = "a@" + "sub." * 12 + "example.org"
+    secrets = ["x7" * n for n in (4, 64, 65, 5_000)]
+    rows = [(1, f"pay {card} now"), (2, f"order {no_card} now"), (3, f"write to {long_domain} please")]
+    rows += [(10 + k, f"token={x} end") for k, x in enumerate(secrets)]
+    new = {r.doc_id: r.text for r in pii.replaced(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    old = dict(rows)
+    assert new[2] == old[2] and new[1] != old[1] and long_domain not in new[3]
+    assert pii._luhn(re.sub(r"\D", "", new[1])[:-1]) == int(re.sub(r"\D", "", new[1])[-1])
+    for k, x in enumerate(secrets):
+        assert new[10 + k].startswith("token=") and new[10 + k].endswith(" end") and x not in new[10 + k] and len(new[10 + k]) >= len(x)
+    other = {r.doc_id: r.text for r in pii.replaced(spark.createDataFrame(rows, "doc_id long, text string"), "another").collect()}
+    assert other[1] != new[1]
+
+
+def test_many_values_of_one_surrogate_are_told_apart(spark):
+    names = [(f"given_m", f"Name{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}") for i in range(1_500)]
+    got = pii.surrogate_table(spark.createDataFrame(names, "kind string, value string"), "k").collect()
+    assert len({r.surrogate for r in got}) == len(names) == len(got) and not {r.surrogate for r in got} & {v for _, v in names}
