@@ -64,7 +64,7 @@ def op6_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     vectors = topk.quantised(read_table(spark, sf_dir, "embeddings"))
-    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,14 +126,14 @@ FROM o"""
 
 _TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
-  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w::DOUBLE[], c.w::DOUBLE[]) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w::DOUBLE[], c.w::DOUBLE[]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.row <> c.row AND len(q.w) = len(c.w)
 ), r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM s
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
 

@@ -233,11 +233,50 @@ def test_quality_and_top_k_of_edge_rows(spark):
     assert quality.judge(edge(spark, True)).count() == 0
     rows = [(0, [0.5, -0.25]), (0, [0.5, -0.25]), (1, [0.5, 0.0]), (2, None), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (5, [1.0]), (50, [-1.0, 1.0]), (None, [1.0, 1.0])]
     v = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
-    found = topk.top_k(v, v.where(v["vec_id"] % 50 == 0), 5)
-    assert sorted(tuple(r) for r in found.collect()) == [(0, 1, 1, 128 * 128), (0, 2, 50, -256 * 128 - 64 * 256),
-                                                         (50, 1, 1, -256 * 128), (50, 2, 0, -256 * 128 - 64 * 256), (50, 3, 0, -256 * 128 - 64 * 256)]
+    found = topk.top_k(v, F.col("vec_id") % 50 == 0, 5)
+    zero = [(0, 1, 0, 128 * 128 + 64 * 64), (0, 2, 1, 128 * 128), (0, 3, 50, -256 * 128 - 64 * 256)]
+    assert sorted(tuple(r) for r in found.collect()) == sorted([*zero, *zero, (50, 1, 1, -256 * 128), (50, 2, 0, -256 * 128 - 64 * 256),
+                                                                (50, 3, 0, -256 * 128 - 64 * 256)])
     none = topk.quantised(spark.createDataFrame([], "vec_id long, embedding array<float>"))
-    assert topk.top_k(none, none).count() == 0
+    assert topk.top_k(none, F.lit(True)).count() == 0
+
+
+def test_top_k_of_many_lengths_repeats_and_groups_equals_all_pairs(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(i % 90), [float(x) for x in np.round(rng.normal(size=n), 2)]) for i, n in enumerate(rng.choice([0, 1, 5, 8], 300))]
+    rows += [(7, [1.0] * 8)] * 200  # one common vector
+    w = [(i, np.floor(256 * np.asarray(e, np.float32).astype(float))) for i, e in rows]
+    want = []
+    for at, (i, q) in enumerate(w):
+        if i % 50 == 0:
+            best = sorted((-int(q @ x), j) for n, (j, x) in enumerate(w) if n != at and len(x) == len(q))[:5]
+            want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(best)]
+    v = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    for groups in (None, 7):
+        assert sorted(tuple(r) for r in topk.top_k(v, F.col("vec_id") % 50 == 0, 5, groups).collect()) == sorted(want)
+
+
+def test_top_k_skips_blocks_of_clustered_vectors_and_refuses_large_weights():
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(32, 16)) * 300
+    w = [np.floor(centres[i // 64] + rng.normal(size=16)) for i in range(2_048)]
+    rows = pd.DataFrame({"row": range(2_048), "vec_id": range(2_048), "w": w})
+    asked = pd.DataFrame({"query_row": range(8), "query_id": range(8), "q": w[:8]})
+    got = topk._search(asked, rows, 5)
+    for i in range(8):
+        exact = sorted(((-int(w[i] @ x), j) for j, x in enumerate(w) if j != i))[:5]
+        assert [(-s, j) for s, j in zip(got[got.query_id == i]["score"], got[got.query_id == i]["vec_id"])] == exact
+    assert got["scored"].max() < 0.3 * len(w)
+    for size, exact in ((2.0**30, True), (2.0**33, False)):
+        frame = pd.DataFrame({"row": [0, 1], "vec_id": [0, 1], "w": [np.array([size, -1.0]), np.array([size - 1, 3.0])]})
+        ask = lambda: topk._search(frame[:1].set_axis(["query_row", "query_id", "q"], axis=1), frame, 1)  # noqa: B023, E731
+        if exact:
+            assert ask()["score"][0] == int(size) * (int(size) - 1) - 3
+        else:
+            with pytest.raises(OverflowError):
+                ask()
 
 
 def test_pipeline_keeps_columns_and_clean_documents(spark):
