@@ -5,8 +5,8 @@ A text is cut greedily into the longest phrases that occur in that sample; texts
 of the same language need fewer. The language with the fewest phrases a character
 wins, ties going to the first by name.
 
-Fitting takes a bounded sample: of the labelled documents of a language the
-MOST_DOCS first by hash of doc_id, as far as CHARS characters of normalised text
+Fitting takes a bounded sample: of the labelled documents of a language, dealt over
+CELLS cells, the MOST_DOCS / CELLS first of each by hash of doc_id, as far as CHARS characters of normalised text
 (less where very many languages share MOST_CHARS). A repeated doc_id counts once a
 language, with its least text. Texts are normalised and cut by workers, so the driver
 gets the samples alone. Every sampled language gets the
@@ -44,6 +44,7 @@ from stratum.llm.textnum import Letters, code_points, text_batches
 
 UNKNOWN = "und"
 MOST_DOCS, CHARS, MOST_CHARS = 400, 30_000, 300_000
+CELLS = 50  # hash cells of a language, each of which gives its share of MOST_DOCS
 SYMBOLS = 64  # of an automaton: space, letters, and one for all rarer letters
 LANE, BATCH_CHARS = 256, 3 << 19
 SHARPNESS = 8
@@ -185,9 +186,12 @@ def fit(documents: DataFrame, learn: Column) -> dict[str, str]:
     rows = documents.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     spark = documents.sparkSession
     ship_package(spark)
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = materialise(rows.select("lang", "doc_id").distinct().withColumn(
-        "rank", F.row_number().over(by_hash)).where(F.col("rank") <= MOST_DOCS), "lang-ids")
+    # ranked in cells of a language, so that no task gets a whole language
+    cell = F.pmod(F.xxhash64(F.lit("cell"), "doc_id"), F.lit(CELLS)).cast("int")
+    by_hash = Window.partitionBy("lang", "cell").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = rows.select("lang", "doc_id").distinct().withColumn("cell", cell).withColumn("nth", F.row_number().over(by_hash))
+    chosen = materialise(chosen.where(F.col("nth") <= MOST_DOCS // CELLS).select(
+        "lang", "doc_id", ((F.col("nth") - 1) * CELLS + F.col("cell")).cast("int").alias("rank")), "lang-ids")
     languages = chosen.select("lang").distinct().count()
     if not languages:
         return {}
