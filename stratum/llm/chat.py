@@ -1,13 +1,11 @@
 """Chat formatting with a grammar round trip, in DataFrame functions only.
 
 A turn is rendered as ``<|im_start|>{role}\\n{text}<|im_end|>\\n``. The parser is
-deterministic: split at ``<|im_end|>\\n``, take the role up to the first line
-feed, undo one level of escaping. A fixed test stands for rendering and reparsing each
-piece before it is escaped: a piece stays as it is if it holds no ``<|`` and no line
-feed (roles) and undoing an escape does not change it. That is enough to come back;
-harmless pieces such as ``<|x|>`` are escaped too, as the query's SQL counts them. All
-others are escaped, which adds one backslash inside every ``<|`` (after any backslashes
-already there).
+deterministic: ``<|`` always opens a control string, so a turn has exactly two; split at
+``<|im_end|>\\n``, take the role up to the first line feed, undo one level of escaping.
+Each role and text is rendered into a trial turn of its own and parsed; it stays as it
+is if the trial has one turn that gives the source back, else it is escaped, which adds
+one backslash inside every ``<|`` (after any backslashes already there).
 An escaped piece holds no ``<|`` at all and always comes back, so one round of
 escaping reaches the fixed point and no loop is needed; ``round_trip`` compares the parsed
 conversation with its source once more.
@@ -50,22 +48,34 @@ def _parse(formatted: Column) -> Column:
     """Formatted text -> array of (raw, role, text, start): ``raw`` is the text as
     it stands, ``start`` its offset within its turn."""
     segments = F.split(formatted, r"<\|im_end\|>\n", -1)
-    turns = F.slice(segments, 1, F.size(segments) - 1)
+    return F.transform(F.slice(segments, 1, F.size(segments) - 1), _parse_turn)
 
-    def turn(seg: Column) -> Column:
-        role = F.substring_index(F.substr(seg, F.lit(len(START) + 1)), "\n", 1)
-        start = F.length(role) + len(START) + 1
-        raw = F.substr(seg, start + 1)
-        return F.struct(raw.alias("raw"), _unescape_role(role).alias("role"), _unescape(raw).alias("text"),
-                        start.alias("start"), F.length(seg).alias("chars"))
 
-    return F.transform(turns, turn)
+def _parse_turn(seg: Column) -> Column:
+    role = F.substring_index(F.substr(seg, F.lit(len(START) + 1)), "\n", 1)
+    start = F.length(role) + len(START) + 1
+    raw = F.substr(seg, start + 1)
+    return F.struct(raw.alias("raw"), _unescape_role(role).alias("role"), _unescape(raw).alias("text"),
+                    start.alias("start"), F.length(seg).alias("chars"))
 
 
-def _piece(source: Column, escape, unescape, ends: str) -> Column:
-    """The source as it is if it survives the parser, else escaped."""
-    survives = (unescape(source) == source) & ~F.contains(source, F.lit("<|")) & ~F.contains(source, F.lit(ends))
-    return F.when(survives, source).otherwise(escape(source))
+def _render(role: Column, text: Column) -> Column:
+    return F.concat(F.lit(START), role, F.lit("\n"), text, F.lit(END))
+
+
+def _comes_back(role: Column, text: Column) -> Column:
+    """Whether the parser reads one turn of this role and text from their rendering."""
+    trial = _render(role, text)
+    turn = _parse_turn(F.element_at(F.split(trial, r"<\|im_end\|>\n", -1), 1))
+    return (F.size(F.split(trial, r"<\|", -1)) == 3) & (turn["role"] == role) & (turn["text"] == text)
+
+
+def _role(source: Column) -> Column:
+    return F.when(_comes_back(source, F.lit("")), source).otherwise(_escape_role(source))
+
+
+def _text(source: Column) -> Column:
+    return F.when(_comes_back(F.lit(""), source), source).otherwise(_escape(source))
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
@@ -82,10 +92,7 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
         "conv_id",
         "source",
         F.array_join(
-            F.transform("source", lambda t: F.concat(
-                F.lit(START), _piece(t["role"], _escape_role, _unescape_role, "\n"), F.lit("\n"),
-                _piece(t["text"], _escape, _unescape, START), F.lit(END),
-            )), "",
+            F.transform("source", lambda t: _render(_role(t["role"]), _text(t["text"]))), "",
         ).alias("formatted"),
     )
     parsed = rendered.select("conv_id", "source", "formatted", _parse(F.col("formatted")).alias("parsed"))

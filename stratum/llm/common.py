@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratum.scratch import scratch_path
 
 ARROW_ROWS = 1_000  # texts a Python worker is handed at once; the longest set its memory
+RANGE_BYTES = 64 << 20  # of a range in a range sort, however large the input
 _SHIPPED: set[str] = set()
 
 
@@ -53,6 +54,11 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def range_width(spark: SparkSession, n_bytes: int | None, range_bytes: int) -> int:
+    """Ranges of ``range_bytes`` for ``n_bytes``, ``spark.sql.shuffle.partitions`` at least."""
+    return max(shuffle_width(spark), -(-(n_bytes or 0) // range_bytes))
+
+
 def plainly_named(rows: DataFrame, base: tuple[str, ...]) -> DataFrame:
     """``rows`` with every column but ``base`` under a name that no operator uses; undo
     with ``toDF(*rows.columns)``. So an operator's own columns never meet the caller's."""

@@ -3,8 +3,10 @@
 A document's hashed word vector is projected to DIMS numbers, these are cut into
 2**BITS steps each and read as one Hilbert key; neighbours on the curve are texts
 of similar words. Spark range-sorts the token arrays by that key (ties by a hash
-of doc_id, so a key that very many documents share is split over ranges too), and
-each range lays its documents one after another into sequences of LIMIT tokens,
+of doc_id, then by the row's place in the written tokens, so a key, a document or a row
+that very many rows share is split over ranges too). There are so many ranges that one
+holds about ``range_bytes`` of tokens, however large the input (observed while they were
+written). Each range lays its documents one after another into sequences of LIMIT tokens,
 cutting a document where a sequence is full. What is left at the end of a range
 goes into sequences whose lengths are powers of two, so nothing is padded.
 
@@ -25,22 +27,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratum.llm.bpe import ID_TYPE, PIECE_BYTES, ByteEncoder, encoder
-from stratum.llm.common import materialise, ship_package, shuffle_width
+from stratum.llm.common import RANGE_BYTES, materialise, range_width, ship_package
 from stratum.llm.textnum import chunks, words
 
 LIMIT = 1024
 DIMS, BITS = 4, 12
-SPREAD = 4.0  # steps reach so many standard errors either side of the origin
+SPREAD = 4.0  # means of up to 0.5 / SPREAD either side of the origin are told apart
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padding long"
 
 
 def project(h: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-    """(n, DIMS) coordinates in [0, 2**BITS): sums of the words' hashed directions,
-    in standard errors of a random text of as many words."""
+    """(n, DIMS) coordinates in [0, 2**BITS): mean of the words' hashed directions, which
+    lie within 0.5 of the origin; SPREAD widens the middle, what passes it is clipped."""
     size = np.bincount(doc, minlength=n)
     out = np.zeros((n, DIMS), dtype=np.uint64)
     for d in range(DIMS):
@@ -153,13 +155,17 @@ def _lay(limit: int):
     return run
 
 
-def pack(documents: DataFrame, vocabulary: str, end_id: int = 0, limit: int = LIMIT) -> DataFrame:
+def pack(documents: DataFrame, vocabulary: str, end_id: int = 0, limit: int = LIMIT,
+         range_bytes: int = RANGE_BYTES) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
     offset and padding (of its sequence: none)."""
     spark = documents.sparkSession
     ship_package(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    tokens = materialise(docs.mapInPandas(_tokens(vocabulary, end_id), "doc_id long, key long, ids binary"), "pack-ids")
-    salted = tokens.withColumn("salt", F.xxhash64("doc_id"))
-    along = salted.repartitionByRange(shuffle_width(spark), "key", "salt").sortWithinPartitions("key", "salt", "ids")
+    written = Observation()
+    keyed = docs.mapInPandas(_tokens(vocabulary, end_id), "doc_id long, key long, ids binary")
+    tokens = materialise(keyed.observe(written, F.sum(F.octet_length("ids")).alias("bytes")), "pack-ids")
+    salted = tokens.select("*", F.xxhash64("doc_id").alias("salt"), F.monotonically_increasing_id().alias("row"))
+    width = range_width(spark, written.get["bytes"], range_bytes)
+    along = salted.repartitionByRange(width, "key", "salt", "row").sortWithinPartitions("key", "salt", "ids")
     return along.select("doc_id", "ids").mapInPandas(_lay(limit), PIECES)

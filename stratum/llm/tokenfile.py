@@ -12,13 +12,16 @@ nearest sample. That takes about 2 + log2(ids / documents) bits a document.
     document ids: null flags (packed bits), then int64 each
     low bits, high bits, samples (u32), ids (u16 or u32, little-endian)
 
-Documents are dealt to parts by ranges of ``doc_id`` (Spark's range partitioner),
-sorted, encoded and written by Spark as Parquet rows (part, seq, block): files on
-any storage Spark can write. Reading back needs one number per part, the ids
-before it: a list as long as there are parts, fixed by the number of partitions.
+Documents are dealt to parts by ranges of ``doc_id``, then of a hash of the text, then
+of the row's place in the input (Spark's range partitioner), so neither an id nor a row
+that very many rows share has to fit one part. Parts are sorted, encoded and written by
+Spark as Parquet rows (part, seq, block): files on any storage Spark can write. There
+are so many parts that one holds about ``range_bytes`` of text, however large the input
+(one sum of lengths is taken before). Reading back needs one number per part, the ids
+before it: a list as long as there are parts.
 
 Defined cases: null text is empty and has only its end id; null doc_ids come
-first, equal doc_ids in order of their text; an empty table writes no block;
+first, equal doc_ids in order of their text's xxhash64; an empty table writes no block;
 further columns are not read.
 """
 
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm.bpe import ID_TYPE, PIECE_BYTES, WordEncoder, encoder
-from stratum.llm.common import ship_package, shuffle_width
+from stratum.llm.common import RANGE_BYTES, range_width, ship_package
 from stratum.llm.textnum import chunks
 
 MAGIC, VERSION = b"TIDB", 1
@@ -158,14 +161,16 @@ def _encode_blocks(vocabulary: str, end_id: int):
     return run
 
 
-def write_blocks(documents: DataFrame, path: str, vocabulary: str, end_id: int = 1) -> None:
+def write_blocks(documents: DataFrame, path: str, vocabulary: str, end_id: int = 1, range_bytes: int = RANGE_BYTES) -> None:
     """Encodes every whole text, appends ``end_id`` and writes blocks in ascending
     doc_id order below ``path``."""
     spark = documents.sparkSession
     ship_package(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = docs.repartitionByRange(shuffle_width(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    blocks = ordered.mapInPandas(_encode_blocks(vocabulary, end_id), "part int, seq int, n_ids long, block binary")
+    width = range_width(spark, docs.agg(F.sum(F.octet_length("text"))).first()[0], range_bytes)
+    placed = docs.select("*", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
+    ordered = placed.repartitionByRange(width, "doc_id", "hash", "row").sortWithinPartitions("doc_id", "hash", "text")
+    blocks = ordered.select("doc_id", "text").mapInPandas(_encode_blocks(vocabulary, end_id), "part int, seq int, n_ids long, block binary")
     blocks.write.option("compression", "none").parquet(path)
 
 
