@@ -2,16 +2,18 @@
 
 For every language a suffix automaton is built over a sample of its labelled text.
 A text is cut greedily into the longest phrases that occur in that sample; texts
-of the same language need fewer. The language with the fewest phrases a character
-wins, ties going to the first by name.
+of the same language need fewer. A phrase is a place in the sample, so it is worth the
+logarithm of the sample's length (of LEAST where the sample is shorter). The language with
+the fewest phrases a character, so weighted, wins, ties going to the first by name.
 
 Fitting takes a bounded sample: of the labelled documents of a language, dealt over
 CELLS cells, the MOST_DOCS / CELLS first of each by hash of doc_id, as far as CHARS characters of normalised text
 (less where very many languages share MOST_CHARS). A repeated doc_id counts once a
 language, with its least text. Texts are normalised and cut by workers, so the driver
-gets the samples alone. Every sampled language gets the
-same number of characters, as far as its text goes, and phrases are normalised by
-it. Workers build the automata from those samples; whole texts are parsed in lanes
+gets the samples alone. No language's sample is cut to another's length. Workers build the
+automata from those samples, over all letters of each: moves by a language's most frequent
+letters (SYMBOLS less three) are looked up in a table, moves by its others in a
+sorted list. Whole texts are parsed in lanes
 of LANE characters, all lanes of a batch step by step together.
 
 ``keep_identified`` drops what no learned language explains. Breaks (phrases without the
@@ -45,7 +47,8 @@ from stratum.llm.textnum import Letters, code_points, text_batches
 UNKNOWN = "und"
 MOST_DOCS, CHARS, MOST_CHARS = 400, 30_000, 300_000
 CELLS = 50  # hash cells of a language, each of which gives its share of MOST_DOCS
-SYMBOLS = 64  # of an automaton: space, letters, and one for all rarer letters
+SYMBOLS = 64  # columns of an automaton's table: space, its frequent letters, RARE and ABSENT
+RARE, ABSENT = SYMBOLS - 2, SYMBOLS - 1  # other letters of the sample; letters it does not hold
 LANE, BATCH_CHARS = 256, 3 << 19
 SHARPNESS = 8
 EXPLAINED, LEAST = 0.75, 2_000
@@ -68,9 +71,9 @@ def normalised(texts: list[str | None], alphabet: np.ndarray | None = None):
 
 
 class SuffixAutomaton:
-    """Of a sequence of codes; ``table[state, code]`` is the next state, 0 if none."""
+    """Of a sequence of codes; ``step[state]`` has the next state by code."""
 
-    def __init__(self, codes: list[int], symbols: int):
+    def __init__(self, codes: list[int]):
         step: list[dict[int, int]] = [{}]
         link, length, last = [-1], [0], 0
         for c in codes:
@@ -96,10 +99,7 @@ class SuffixAutomaton:
                         p = link[p]
                     link[q] = link[new] = twin
             last = new
-        self.table = np.zeros((len(step), symbols), dtype=np.int32)
-        for s, row in enumerate(step):
-            if row:
-                self.table[s, list(row)] = list(row.values())
+        self.step = step
 
 
 class Model:
@@ -109,18 +109,40 @@ class Model:
 
     def __init__(self, samples: dict[str, str]):
         self.names = sorted(samples)
-        common = Counter(c for s in samples.values() for c in s if c != " ").most_common(SYMBOLS - 2)
-        self.alphabet = np.full(0x110000, SYMBOLS - 1, dtype=np.uint8)
-        for k, (c, _) in enumerate(sorted(common)):
-            self.alphabet[ord(c)] = k + 1
-        tables, self.roots, at = [], [], 0
-        for name in self.names:
-            codes = [0 if c == " " else int(self.alphabet[ord(c)]) for c in samples[name]]
-            t = _known(codes)
+        letters = sorted({c for s in samples.values() for c in s if c != " "})
+        code = {" ": 0, **{c: k + 1 for k, c in enumerate(letters)}}
+        self.letters = len(letters) + 2  # the last for letters of no sample
+        self.alphabet = np.full(0x110000, self.letters - 1, dtype=np.int32)
+        self.alphabet[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.column = np.full((self.letters, len(self.names)), ABSENT, dtype=np.uint8)  # of a letter in a language's table
+        self.first = np.zeros((self.letters, len(self.names)), dtype=np.int64)  # state after a phrase's first letter
+        tables, keys, values, self.roots, at = [], [], [], [], 0
+        for k, name in enumerate(self.names):
+            codes = [code[c] for c in samples[name]]
+            column = self.column[:, k]
+            column[codes] = RARE
+            column[0] = 0
+            for nth, (c, _) in enumerate(Counter(c for c in codes if c).most_common(RARE - 1)):
+                column[c] = nth + 1
+            step = SuffixAutomaton(codes).step
+            state = np.repeat(np.arange(len(step)), [len(row) for row in step])
+            by = np.array([c for row in step for c in row], dtype=np.int64)
+            to = np.array([x for row in step for x in row.values()], dtype=np.int64) + at
+            table = np.zeros((len(step), SYMBOLS), dtype=np.int32)
+            rare = column[by] == RARE
+            table[state[~rare], column[by[~rare]]] = to[~rare]
+            keys.append((state[rare] + at) * self.letters + by[rare])
+            values.append(to[rare])
+            self.first[:, k] = at
+            self.first[by[state == 0], k] = to[state == 0]
             self.roots.append(at)
-            tables.append(np.where(t > 0, t + at, 0))
-            at += len(t)
+            tables.append(table)
+            at += len(step)
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+        keys, values = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, values))
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]  # moves by rare letters
+        self.worth = np.log([max(len(samples[x]), LEAST) for x in self.names])
 
     @classmethod
     def get(cls, samples: dict[str, str]) -> Model:
@@ -147,23 +169,25 @@ class Model:
         live = np.searchsorted(-long, -np.arange(LANE), side="left")  # lanes longer than t
         for t in range(int(long[0]) if len(long) else 0):
             m = int(live[t])
-            c = codes[start[:m] + t].astype(np.int64)[:, None]
-            to = self.table[state[:m] * SYMBOLS + c].astype(np.int64)
+            c = codes[start[:m] + t]
+            column = self.column[c]
+            to = self.table[state[:m] * SYMBOLS + column].astype(np.int64)
+            if len(self.keys):
+                lane, language = np.nonzero(column == RARE)
+                to[lane, language] = self._by_rare(state[lane, language], c[lane])
             cut = to == 0
             count[:m] += cut
-            again = self.table[roots * SYMBOLS + c].astype(np.int64)
-            state[:m] = np.where(cut, np.where(again > 0, again, roots), to)
+            state[:m] = np.where(cut, self.first[c], to)
         out = np.zeros((len(size), len(roots)))
         for k in range(len(roots)):
             out[:, k] = np.bincount(text, weights=count[:, k] + 1, minlength=len(size))
         return out
 
-
-def _known(codes: list[int]) -> np.ndarray:
-    """Automaton over the sample; rarer letters (the last symbol) match nothing."""
-    table = SuffixAutomaton(codes, SYMBOLS).table
-    table[:, SYMBOLS - 1] = 0
-    return table
+    def _by_rare(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Next states by rare letters, 0 if none."""
+        key = state * self.letters + c
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.values[at], 0)
 
 
 def _cut(limit: int):
@@ -205,11 +229,7 @@ def fit(documents: DataFrame, learn: Column) -> dict[str, str]:
     samples: dict[str, str] = {}
     for r in sorted(used.collect(), key=lambda r: r["rank"]):  # at most MOST_CHARS characters
         samples[r.lang] = samples.get(r.lang, "") + r.sample
-    samples = {lang: s for lang, s in samples.items() if s}
-    if not samples:
-        return {}
-    size = max(limit // 8, min([limit, *map(len, samples.values())]))
-    return {lang: s[:size] for lang, s in samples.items()}
+    return {lang: s for lang, s in samples.items() if s}
 
 
 def _breaks(phrases: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -242,7 +262,7 @@ def _predict(samples: dict[str, str], passed: list[str], most: dict[str, float]
                 out = f.iloc[start:start + len(batch)][passed].copy()
                 if model.names:
                     phrases = model.phrases(codes, begins)
-                    rate = phrases / np.maximum(size, 1)[:, None]
+                    rate = phrases * model.worth / np.maximum(size, 1)[:, None]
                     best = rate.argmin(axis=1)
                     least = rate.min(axis=1)[:, None]
                     with np.errstate(invalid="ignore", divide="ignore"):

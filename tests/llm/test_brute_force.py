@@ -157,9 +157,8 @@ def test_merge_dropout_equals_a_plain_agenda(spark):
 def test_language_equals_plain_longest_matches(spark):
     docs = documents(spark)
     samples = langid.fit(docs, ~langid.held_out(F.col("doc_id"), 4, 2))
-    model = langid.Model(samples)
     got = {r.doc_id: r.lang_pred for r in langid.identify(docs, samples).collect()}
-    known = {name: "".join("\0" if c != " " and model.alphabet[ord(c)] == langid.SYMBOLS - 1 else c for c in s) for name, s in samples.items()}
+    worth = {name: math.log(max(len(s), langid.LEAST)) for name, s in samples.items()}
 
     def phrases(text, sample):
         """Lanes of LANE characters, each cut greedily into longest parts of the sample."""
@@ -167,7 +166,7 @@ def test_language_equals_plain_longest_matches(spark):
         for lane in range(0, len(text), langid.LANE):
             part, phrase, n = text[lane:lane + langid.LANE], "", n + 1
             for c in part:
-                if c != "\1" and phrase + c in sample:
+                if phrase + c in sample:
                     phrase += c
                 else:
                     phrase, n = c if c in sample else "", n + 1
@@ -175,12 +174,30 @@ def test_language_equals_plain_longest_matches(spark):
 
     for r in docs.orderBy(F.crc32(F.col("doc_id").cast("string"))).limit(40).collect():
         codes, _ = langid.normalised([r.text])
-        text = "".join(" " if c == 0 else "\1" if model.alphabet[c] == langid.SYMBOLS - 1 else chr(c) for c in codes.tolist())
-        need = {name: phrases(text, s) for name, s in known.items()}
+        text = "".join(" " if c == 0 else chr(c) for c in codes.tolist())
+        need = {name: phrases(text, s) * worth[name] for name, s in samples.items()}
         want = "und" if not len(text) else min(sorted(need), key=lambda name: need[name])
         assert got[r.doc_id] == want, (r.doc_id, need)
 
 
+def test_a_language_with_a_short_sample_cuts_no_other_one(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = langid.held_out(F.col("doc_id"), 4, 2)
+    samples = langid.fit(docs, ~held)
+    poor = sorted(samples)[1]
+    short = dict(samples, **{poor: samples[poor][:1500]})
+    labelled = docs.where(held & F.col("lang").isin(*samples) & (F.length("text") > 100))
+    want = {r.doc_id: r.lang for r in labelled.select("doc_id", "lang").collect()}
+    got = {r.doc_id: r.lang_pred for r in langid.identify(labelled, short).collect()}
+    for lang in samples:
+        own = [d for d in want if want[d] == lang]
+        assert sum(got[d] == lang for d in own) >= 0.95 * len(own), lang
+    few = docs.where(~held & (F.col("lang") == poor)).orderBy("doc_id").limit(1)
+    fitted = langid.fit(docs.where(F.col("lang") != poor).unionAll(few), ~held)
+    assert {k: v for k, v in fitted.items() if k != poor} == {k: v for k, v in samples.items() if k != poor}
+    assert 0 < len(fitted[poor]) < len(samples[poor])
+
+
 def test_toxicity_features_equal_a_plain_loop(spark):
     words, opens = [*toxicity.INSULTS, "was"], ["idio", "stup"]
     texts = [r.text or "" for r in documents(spark).collect()[:60]]

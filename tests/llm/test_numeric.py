@@ -96,6 +96,30 @@ def test_suffix_automaton_parses_into_longest_matches():
         assert model.phrases(codes, begins)[0, 0] == want
 
 
+def test_letters_beyond_the_table_match_like_others():
+    rng = random.Random(6)
+    script = [chr(0x4E00 + k) for k in range(400)]
+    samples = {"x": "".join(rng.choices(script, k=1500)), "y": "".join(rng.choices(script[300:] + list("abc "), k=900)).strip(), "z": "ab"}
+    model = langid.Model(samples)
+    assert len(model.keys) > 1000
+    texts = [samples["x"][200:700] + "abc", "".join(rng.choices(script + ["я"], k=700)), samples["y"][:300].strip(), "ba", ""]
+    codes, begins = langid.normalised(texts, model.alphabet)
+    plain, _ = langid.normalised(texts)
+    got = model.phrases(codes, begins)
+    for k, (b, e) in enumerate(zip(begins[:-1], begins[1:])):
+        chars = "".join(" " if c == 0 else chr(c) for c in plain[b:e].tolist())
+        for j, name in enumerate(model.names):
+            want = 0
+            for at in range(0, len(chars), langid.LANE):
+                phrase, want = "", want + 1
+                for ch in chars[at:at + langid.LANE]:
+                    if phrase + ch in samples[name]:
+                        phrase += ch
+                    else:
+                        want, phrase = want + 1, ch if ch in samples[name] else ""
+            assert got[k, j] == want, (k, name)
+
+
 def _shingles(text):
     w = text.split()
     return collections.Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else collections.Counter([tuple(w)] if w else [])
