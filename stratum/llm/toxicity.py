@@ -6,8 +6,8 @@ capitals, punctuation and exclamation, obfuscated words (signs inside or doubled
 letters), word lengths. The lexicon is a short fixed list together with words and
 word beginnings that the labelled sample shows to be far likelier in toxic texts.
 
-Fitting takes a bounded sample of labelled rows (MOST_ROWS of each label, first by
-hash of doc_id); trees learn from three quarters of it, the calibration from the
+Fitting takes a bounded sample of labelled documents (MOST_ROWS of each label, first by
+hash of doc_id, a repeated doc_id once with its least text); trees learn from three quarters of it, the calibration from the
 rest, weighted back to the labels' true shares. Near copies count once for the
 lexicon: texts are counted by their least word hash, which copies share. All rows
 are scored, whole.
@@ -172,12 +172,14 @@ def _sample(documents: DataFrame, labels: DataFrame, learn: Column) -> tuple[Dat
     shares = {r.toxic: r["count"] for r in one.groupBy("toxic").count().collect()}
     first = None
     for kind in (0, 1):
-        part = one.where(F.col("toxic") == kind).orderBy(F.xxhash64("id"), "id").limit(MOST_ROWS)
+        # hashes are even, so the MOST_ROWS first lie below twice their share: few rows meet in the task that orders them
+        most = min(2**63 - 1, 2 * MOST_ROWS * 2**64 // max(shares.get(kind, 0), 1) - 2**63)
+        part = one.where((F.col("toxic") == kind) & (F.xxhash64("id") <= most)).orderBy(F.xxhash64("id"), "id").limit(MOST_ROWS)
         first = part if first is None else first.unionAll(part)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # broadcast: at most 2 * MOST_ROWS rows of an id and a label
-    rows = texts.join(F.broadcast(first), texts["doc_id"] == first["id"]).select(
-        "text", "toxic", (F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(4)) == 0).alias("checks"))
+    one_text = texts.join(F.broadcast(first), texts["doc_id"] == first["id"]).groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = one_text.select("text", "toxic", (F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(4)) == 0).alias("checks"))
     return materialise(rows, "tox-sample"), shares
 
 

@@ -120,6 +120,22 @@ def test_language_is_right_on_held_out_rows(spark):
     assert {r.lang_pred for r in langid.identify(edge(spark), {}).collect()} == {"und"}
 
 
+def test_toxicity_learns_from_one_text_of_an_id_and_the_first_ids_by_hash(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST_ROWS", 40)
+    ids = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    hot = spark.range(2000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("other "), "id").alias("text"))
+    labels = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 3 == 0).cast("int").alias("toxic"))
+    sample, shares = toxicity._sample(ids.unionAll(hot), labels, F.lit(True))
+    assert shares == {0: 2000, 1: 1000}
+    got = sorted(r.text for r in sample.collect())
+    by_hash = labels.select("doc_id", "toxic", F.xxhash64("doc_id").alias("h")).collect()
+    want = []
+    for kind in (0, 1):
+        first = sorted((r.h, r.doc_id) for r in by_hash if r.toxic == kind)[:40]
+        want += ["other 0" if d == 7 else f"text {d}" for _, d in first]
+    assert got == sorted(want)
+
+
 def test_toxicity_on_held_out_rows_and_without_labels(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
